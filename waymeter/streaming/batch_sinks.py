@@ -15,13 +15,26 @@ from waymeter.sinks.kafka import publish
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# Tasks that write one batch of results to a file table. Raise it with the number of sensors.
+WRITERS = 4
+
 
 def _query_id(batch: DataFrame) -> str:
     """Id of the running query: kept by its checkpoint, new with a new checkpoint."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def table_sink(path: str, time_column: str, date_column: str) -> BatchSink:
+def spread_by_date(rows: DataFrame, date_column: str, keys: list[str], writers: int) -> DataFrame:
+    """Hand the rows to `writers` tasks, so that a batch leaves at most that many files per date.
+
+    A streaming write has no AQE to merge small partitions, and one file per state or topic partition
+    and trigger would swamp the file system. A date, however busy, is cut over all the writers.
+    """
+    cut = F.pmod(F.xxhash64(*keys), F.lit(writers))
+    return rows.repartition(writers, F.col(date_column), cut)
+
+
+def table_sink(path: str, time_column: str, date_column: str, writers: int = WRITERS) -> BatchSink:
     """File table in which a replayed batch replaces itself.
 
     Partitions are (date, batch key); the key holds the query id too, as batch numbers start again
@@ -34,8 +47,9 @@ def table_sink(path: str, time_column: str, date_column: str) -> BatchSink:
             .withColumn(date_column, F.to_date(time_column))
             .withColumn("batch_key", F.lit(f"{_query_id(batch)}-{batch_id:012d}"))
         )
+        spread = spread_by_date(keyed, date_column, ["sensor_id", "junction_name", time_column], writers)
         (
-            keyed.write.mode("overwrite")
+            spread.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(date_column, "batch_key")
             .parquet(path)
@@ -68,7 +82,3 @@ def fan_out(*sinks: BatchSink) -> BatchSink:
             batch.unpersist()
 
     return write
-
-
-def mapped(transform: Callable[[DataFrame], DataFrame], sink: BatchSink) -> BatchSink:
-    return lambda batch, batch_id: sink(transform(batch), batch_id)

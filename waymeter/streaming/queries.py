@@ -18,10 +18,15 @@ from waymeter.operators.alerts import (
     with_processing_time,
 )
 from waymeter.operators.messages import bad_records, decode_messages, good_records, with_watermark
-from waymeter.operators.windows import congestion_stored, congestion_windows, with_recorded_at
+from waymeter.operators.windows import (
+    WINDOW_KEY,
+    congestion_stored,
+    congestion_windows,
+    with_recorded_at,
+)
 from waymeter.schemas import SPEED
 from waymeter.session import shared_folder
-from waymeter.streaming.batch_sinks import BatchSink
+from waymeter.streaming.batch_sinks import WRITERS, BatchSink, spread_by_date
 
 
 def checkpoint_path(spark: SparkSession, config: StreamConfig, name: str) -> str:
@@ -60,19 +65,14 @@ def _congestion_writer(rows: DataFrame, config: StreamConfig, trigger: dict | No
 
 
 def start_congestion_table(readings: DataFrame, config: StreamConfig, path: str,
-                           trigger: dict | None = None, files_per_date: int = 1) -> StreamingQuery:
+                           trigger: dict | None = None, writers: int = WRITERS) -> StreamingQuery:
     """Final windows, one row each once the watermark has passed them, to a file table by date.
 
-    Exactly once through the sink's own log. Without AQE in a stateful stream every state partition
-    would leave a file per trigger, so the finished rows, which are few, are first spread over
-    `files_per_date` tasks per date.
+    Exactly once through the sink's own log.
     """
     rows = _rows_counted(stored_windows(readings, config), "congestion_rows")
-    part = F.pmod(F.xxhash64("sensor_id", "junction_name", "window_start"), F.lit(files_per_date))
-    spread = (
-        rows.withColumn("window_date", F.to_date("window_start"))
-        .repartition(files_per_date, F.col("window_date"), part)
-    )
+    dated = rows.withColumn("window_date", F.to_date("window_start"))
+    spread = spread_by_date(dated, "window_date", WINDOW_KEY, writers)
     writer = _congestion_writer(spread, config, trigger)
     return writer.format("parquet").option("path", path).partitionBy("window_date").start()
 
