@@ -1,0 +1,84 @@
+"""Decoding of sound and faulty messages."""
+
+import json
+from datetime import datetime
+
+import pytest
+
+from waymeter.operators.messages import (
+    alert_messages,
+    bad_records,
+    decode_messages,
+    decode_readings,
+    encode_readings,
+    good_records,
+)
+from waymeter.schemas import RAW_MESSAGE
+
+SOUND = {
+    "sensor_id": "J001", "junction_name": "Galle Face - Marine Drive",
+    "timestamp": "2025-07-15T02:45:00.123456Z", "vehicle_count": 120, "avg_speed": 7.2,
+    "is_critical": True,
+}
+BROKER_TIME = datetime(2025, 7, 15, 2, 45, 1)
+
+
+def messages(spark, *values):
+    rows = [(None, None if v is None else bytearray(v.encode()), BROKER_TIME) for v in values]
+    return spark.createDataFrame(rows, RAW_MESSAGE)
+
+
+def test_sound_message(spark):
+    row = decode_readings(messages(spark, json.dumps(SOUND))).first()
+    assert row.event_time == datetime(2025, 7, 15, 2, 45, 0, 123456)
+    assert (row.sensor_id, row.vehicle_count, row.avg_speed, row.is_critical) == ("J001", 120, 7.2, True)
+    assert row.kafka_ts == BROKER_TIME
+
+
+@pytest.mark.parametrize("value", ["not json", "", '[{"sensor_id":"J1"},{"sensor_id":"J2"}]',
+                                   '{"sensor_id":"J1"', None])
+def test_unreadable_message_is_all_null_and_quarantined(spark, value):
+    decoded = decode_messages(messages(spark, value))
+    row = decoded.first()
+    assert [row[name] for name in SOUND] == [None] * 6
+    assert row.event_time is None
+    assert bad_records(decoded).first().json_str == value
+    assert good_records(decoded).isEmpty()
+
+
+@pytest.mark.parametrize("change, field", [
+    ({"vehicle_count": 3.5}, "vehicle_count"), ({"vehicle_count": "4"}, "vehicle_count"),
+    ({"avg_speed": "9"}, "avg_speed"), ({"timestamp": "junk"}, "event_time"),
+])
+def test_faulty_field_alone_is_null(spark, change, field):
+    row = decode_readings(messages(spark, json.dumps({**SOUND, **change}))).first()
+    assert row[field] is None
+    assert row.sensor_id == "J001"
+
+
+def test_unknown_field_is_ignored_and_zoneless_time_is_utc(spark):
+    value = json.dumps({**SOUND, "lane": 2, "timestamp": "2025-07-15T02:45:00"})
+    row = decode_readings(messages(spark, value)).first()
+    assert row.event_time == datetime(2025, 7, 15, 2, 45)
+
+
+def test_round_trip_keeps_every_field(spark):
+    source = decode_readings(messages(spark, json.dumps(SOUND), json.dumps({"sensor_id": "J9"})))
+    encoded = encode_readings(source)
+    values = {row.key: json.loads(row.value) for row in encoded.collect()}
+    assert values["J001"] == SOUND
+    # Unknown fields are written as null, not left out.
+    assert values["J9"] == {**dict.fromkeys(SOUND), "sensor_id": "J9"}
+
+
+def test_alert_message(spark):
+    alerts = spark.createDataFrame(
+        [("J001", "Galle Face", 7.2, 120, datetime(2025, 7, 15, 2, 45))],
+        "sensor_id string, junction_name string, avg_speed double, vehicle_count int, alert_time timestamp",
+    )
+    row = alert_messages(alerts).first()
+    assert row.key == "J001"
+    assert json.loads(row.value) == {
+        "sensor_id": "J001", "junction_name": "Galle Face", "alert_time": "2025-07-15 02:45:00.000000",
+        "avg_speed": 7.2, "vehicle_count": 120, "severity": "CRITICAL",
+    }

@@ -1,0 +1,167 @@
+"""The nightly answer: sample windows, ties, zones, empty days and rewrites."""
+
+from datetime import date, datetime, timedelta
+from pathlib import Path
+
+import golden
+import pytest
+from pyspark.sql import functions as F
+
+from waymeter.jobs.nightly import write_nightly, write_volume_reports
+from waymeter.operators.alerts import alerts_stored
+from waymeter.operators.hourly import hourly_rollup, interventions, peak_hours, rollup_stats, windows_of_day
+from waymeter.operators.windows import congestion_stored
+from waymeter.plans.nightly import nightly_peaks, nightly_report
+from waymeter.sinks.files import write_daily_report, write_windows
+from waymeter.sources.seed import seed_alerts, seed_windows
+from waymeter.sources.tables import read_daily_report, read_windows
+
+WINDOW = ("sensor_id string, junction_name string, window_start timestamp, mean_speed_kmph double, "
+          "total_vehicles bigint, congestion_index double")
+DAY = "2025-07-15"
+COLOMBO = "Asia/Colombo"
+
+
+def windows(spark, *rows):
+    return spark.createDataFrame(rows, WINDOW)
+
+
+def at(hour, minute=0, day=15):
+    return datetime(2025, 7, day, hour, minute)
+
+
+def text_of(path):
+    """A report's files joined in the order of their names."""
+    return "".join(part.read_text() for part in sorted(Path(path).glob("part-*.txt")))
+
+
+@pytest.mark.parametrize("tz, hours", [("UTC", [2, 3, 12, 12]), (COLOMBO, [8, 8, 17, 17])])
+def test_sample_peaks(spark, tz, hours):
+    peaks = nightly_peaks(seed_windows(spark), DAY, tz).orderBy("sensor_id").collect()
+    assert [row.sensor_id for row in peaks] == ["J001", "J002", "J003", "J004"]
+    assert [row.peak_hour for row in peaks] == hours
+    assert [row.total_vehicles for row in peaks] == [280, 310, 130, 260]
+    assert [row.avg_speed for row in peaks] == [12.1, 10.5, 25.0, 17.5]
+
+
+def test_sample_interventions(spark):
+    flagged = interventions(nightly_peaks(seed_windows(spark), DAY, COLOMBO)).orderBy("sensor_id").collect()
+    assert [(row.sensor_id, row.reason) for row in flagged] == [
+        ("J001", "CI=85.1 (≥60.0)"), ("J002", "CI=89.2 (≥60.0)"), ("J004", "CI=74.5 (≥60.0)"),
+    ]
+
+
+def test_half_hour_zone_moves_hour_borders(spark):
+    rows = windows(spark, ("J1", "A", at(2, 25), 10.0, 1, 0.0), ("J1", "A", at(2, 30), 20.0, 2, 0.0))
+    local = hourly_rollup(rows, COLOMBO).orderBy("hour_slot").collect()
+    assert [(row.hour_slot.hour, row.total_vehicles) for row in local] == [(7, 1), (8, 2)]
+    assert hourly_rollup(rows).first().total_vehicles == 3
+
+
+def test_hourly_means_are_not_weighted(spark):
+    rows = windows(spark, ("J1", "A", at(8), 10.0, 1000, 50.0), ("J1", "A", at(8, 5), 30.0, 1, 10.0))
+    row = hourly_rollup(rows).first()
+    assert (row.avg_speed, row.total_vehicles, row.avg_ci) == (20.0, 1001, 30.0)
+
+
+def test_of_equal_hours_the_earliest_is_the_peak(spark):
+    rows = windows(spark, ("J1", "A", at(9), 10.0, 5, 1.0), ("J1", "A", at(7), 20.0, 5, 2.0),
+                   ("J1", "A", at(11), 30.0, None, 3.0))
+    assert [row.peak_hour for row in nightly_peaks(rows).collect()] == [7]
+
+
+def test_peak_is_one_whole_row(spark):
+    rows = windows(spark, ("J1", "A", at(9), None, 50, None), ("J1", "A", at(7), 20.0, 5, 2.0))
+    row = nightly_peaks(rows).first()
+    assert (row.peak_hour, row.avg_speed, row.avg_ci) == (9, None, None)
+    assert interventions(nightly_peaks(rows)).isEmpty()
+
+
+def test_last_hour_and_renamed_junction(spark):
+    rows = windows(spark, ("J1", "Old", at(23), 20.0, 4, 1.0), ("J1", "New", at(23), 20.0, 5, 1.0))
+    peaks = nightly_peaks(rows).collect()
+    assert [(row.junction_name, row.peak_hour_label) for row in peaks] == [("New", "23:00–00:00")]
+
+
+def test_stats_agree_with_the_separate_answers(spark):
+    rows = windows(
+        spark, ("J1", "A", at(7), 20.0, 5, 70.0), ("J1", "A", at(8), 20.0, 5, 10.0),
+        ("J1", "B", at(7), 14.0, 5, 10.0), ("J2", "C", at(7), 14.0, None, None),
+        (None, "D", at(7), 1.0, 9, 99.0), ("J1", "A", at(7, day=16), 20.0, 5, 10.0),
+    )
+    hourly = hourly_rollup(rows)
+    flagged = {row.day: row[1] for row in interventions(peak_hours(hourly)).groupBy("day").count().collect()}
+    stats = {row.day: row for row in rollup_stats(hourly).collect()}
+    assert stats[date(2025, 7, 15)][1:] == (5, 3, flagged[date(2025, 7, 15)])
+    assert stats[date(2025, 7, 16)][1:] == (1, 1, 0)
+
+
+def test_day_is_a_half_open_local_range(spark):
+    edges = [at(18, 29, 14), at(18, 30, 14), at(18, 29), at(18, 30)]
+    rows = windows(spark, *[("J1", "A", edge, 1.0, n, 1.0) for n, edge in enumerate(edges)])
+    chosen = windows_of_day(rows, DAY, COLOMBO).collect()
+    assert [row.total_vehicles for row in chosen] == [1, 2]
+
+
+def test_stored_windows_give_the_same_answer(spark, tmp_path):
+    write_windows(congestion_stored(seed_windows(spark)), f"{tmp_path}/w")
+    stored = nightly_report(read_windows(spark, f"{tmp_path}/w"), DAY, COLOMBO).collect()
+    direct = nightly_report(seed_windows(spark), DAY, COLOMBO).collect()
+    assert sorted(stored) == sorted(direct)
+
+
+def test_rewriting_a_day_changes_nothing_else(spark, tmp_path):
+    path = f"{tmp_path}/daily"
+    moved = seed_windows(spark).withColumn("window_start", F.col("window_start") + F.expr("INTERVAL 1 DAY"))
+    both = nightly_report(seed_windows(spark).unionByName(moved))
+    write_daily_report(both, path)
+    first = sorted(read_daily_report(spark, path).drop("created_at").collect())
+    assert len(first) == 8
+    for _ in range(2):
+        write_daily_report(nightly_report(seed_windows(spark), DAY), path, DAY)
+        assert sorted(read_daily_report(spark, path).drop("created_at").collect()) == first
+    keys = read_daily_report(spark, path).groupBy("report_date", "sensor_id").count()
+    assert keys.filter("count > 1").isEmpty()
+
+
+def test_a_day_without_rows_replaces_its_earlier_answer(spark, tmp_path):
+    path = f"{tmp_path}/daily"
+    write_daily_report(nightly_report(seed_windows(spark), DAY), path, DAY)
+    write_daily_report(nightly_report(seed_windows(spark).limit(0), DAY), path, DAY)
+    assert read_daily_report(spark, path).isEmpty()
+
+
+def test_backfill_replaces_only_the_dates_it_holds(spark, tmp_path):
+    path = f"{tmp_path}/w"
+    stored = congestion_stored(seed_windows(spark))
+    next_day = stored.withColumn("window_start", F.col("window_start") + F.expr("INTERVAL 1 DAY"))
+    write_windows(stored.unionByName(next_day), path)
+    write_windows(next_day.limit(3), path)
+    counts = {row[0]: row[1] for row in read_windows(spark, path).groupBy("window_date").count().collect()}
+    assert counts == {date(2025, 7, 15): 9, date(2025, 7, 16): 3}
+
+
+def test_whole_nightly_job(spark, tmp_path):
+    tables, reports = f"{tmp_path}/tables", f"{tmp_path}/reports"
+    windows_table = congestion_stored(seed_windows(spark))
+    stored = write_nightly(spark, windows_table, DAY, COLOMBO, tables, reports)
+    alerts = alerts_stored(seed_alerts(spark))
+    write_volume_reports(windows_table, alerts, stored, DAY, COLOMBO, reports)
+    assert text_of(f"{reports}/police_intervention_{DAY}") == golden.NIGHTLY_REPORT
+    peaks = spark.read.csv(f"{reports}/traffic_report_{DAY}", header=True)
+    assert [row.peak_hour for row in peaks.orderBy("sensor_id").collect()] == ["8", "8", "17", "17"]
+    summary = text_of(f"{reports}/congestion_summary_{DAY}")
+    assert "  J004 | Nugegoda - High Level Road | 08.9 km/h | 17:45 | CRITICAL\n" in summary
+    assert "  ⚠  J004 — Nugegoda - High Level Road (Peak CI: 74.5 — SEVERE)\n" in summary
+    assert summary.index("PEAK HOURS") < summary.index("CRITICAL ALERTS") < summary.index("POLICE")
+    assert spark.read.csv(f"{reports}/traffic_volume_report_{DAY}", header=True).count() == 9
+    assert spark.read.json(f"{reports}/traffic_report_chart_{DAY}").count() == 4
+
+
+def test_whole_nightly_job_on_an_empty_day(spark, tmp_path):
+    tables, reports = f"{tmp_path}/tables", f"{tmp_path}/reports"
+    empty_day = str(date.fromisoformat(DAY) + timedelta(days=1))
+    stored = write_nightly(spark, seed_windows(spark), empty_day, COLOMBO, tables, reports)
+    assert stored.isEmpty()
+    assert text_of(f"{reports}/police_intervention_{empty_day}") == golden.EMPTY_NIGHTLY_REPORT
+    assert not (tmp_path / "reports" / f"traffic_report_{empty_day}").exists()
