@@ -9,14 +9,19 @@ sys.path[:0] = [str(Path(__file__).parent), str(Path(__file__).parent.parent)]
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
+    from waymeter.session import SETTINGS
+
     session = (
         SparkSession.builder.master("local[8]")
         .appName("waymeter-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=SETTINGS)
+        .config("spark.sql.shuffle.partitions", "2")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
+        .config("spark.sql.streaming.checkpointFileManagerClass",
+                "org.apache.spark.sql.execution.streaming.checkpointing."
+                "FileSystemBasedCheckpointFileManager")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )

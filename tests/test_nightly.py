@@ -7,14 +7,15 @@ import golden
 import pytest
 from pyspark.sql import functions as F
 
+from waymeter.jobs.backfill import backfill_windows
 from waymeter.jobs.nightly import write_nightly, write_volume_reports
 from waymeter.operators.alerts import alerts_stored
 from waymeter.operators.hourly import hourly_rollup, interventions, peak_hours, rollup_stats, windows_of_day
-from waymeter.operators.windows import congestion_stored
+from waymeter.operators.windows import congestion_stored, latest_windows
 from waymeter.plans.nightly import nightly_peaks, nightly_report
 from waymeter.sinks.files import write_daily_report, write_windows
 from waymeter.sources.seed import seed_alerts, seed_windows
-from waymeter.sources.tables import read_daily_report, read_windows
+from waymeter.sources.tables import read_daily_report, read_raw, read_windows
 
 WINDOW = ("sensor_id string, junction_name string, window_start timestamp, mean_speed_kmph double, "
           "total_vehicles bigint, congestion_index double")
@@ -165,3 +166,26 @@ def test_whole_nightly_job_on_an_empty_day(spark, tmp_path):
     assert stored.isEmpty()
     assert text_of(f"{reports}/police_intervention_{empty_day}") == golden.EMPTY_NIGHTLY_REPORT
     assert not (tmp_path / "reports" / f"traffic_report_{empty_day}").exists()
+
+
+def test_repeated_and_outdated_window_rows_count_once(spark):
+    rows = seed_windows(spark).withColumn("recorded_at", F.lit("2025-07-15 13:00:00").cast("timestamp"))
+    outdated = rows.withColumn("total_vehicles", F.col("total_vehicles") - 50).withColumn(
+        "recorded_at", F.lit("2025-07-15 12:59:00").cast("timestamp"))
+    table = latest_windows(rows.unionByName(outdated).unionByName(rows))
+    assert sorted(nightly_peaks(table, DAY, COLOMBO).collect()) == sorted(
+        nightly_peaks(seed_windows(spark), DAY, COLOMBO).collect())
+
+
+def test_backfill_job_rebuilds_whole_dates(spark, tmp_path):
+    schema = ("sensor_id string, junction_name string, event_time timestamp, vehicle_count int, "
+              "avg_speed decimal(6,2), is_critical boolean, ingested_at timestamp, event_date date")
+    rows = [("J1", "A", at(8, minute, day), 10, None, False, None, date(2025, 7, day))
+            for day in (14, 15, 16) for minute in (1, 2, 7)]
+    spark.createDataFrame(rows, schema).write.partitionBy("event_date").parquet(f"{tmp_path}/raw")
+    raw = read_raw(spark, f"{tmp_path}/raw")
+    backfill_windows(raw, str(tmp_path), ["2025-07-15", "2025-07-16"])
+    backfill_windows(raw, str(tmp_path), ["2025-07-16", "2025-07-16"])
+    found = read_windows(spark, f"{tmp_path}/congestion_index").orderBy("window_start").collect()
+    assert [(row.window_start, row.total_vehicles) for row in found] == [
+        (at(8, 0, 15), 20), (at(8, 5, 15), 10), (at(8, 0, 16), 20), (at(8, 5, 16), 10)]

@@ -1,0 +1,65 @@
+"""Options of the endpoints that cannot be reached here, and settings."""
+
+import pytest
+
+from waymeter.config import JdbcConfig, StreamConfig
+from waymeter.session import SETTINGS, build_session, new_run_folder, shared_folder
+from waymeter.sinks.jdbc import jdbc_write_options
+from waymeter.sinks.kafka import kafka_sink_options
+from waymeter.sources.jdbc import jdbc_read_options
+from waymeter.sources.kafka import kafka_source_options
+from waymeter.streaming.queries import checkpoint_path
+
+
+def test_topic_source():
+    assert kafka_source_options(StreamConfig()) == {
+        "kafka.bootstrap.servers": "kafka:9092", "subscribe": "traffic-raw",
+        "startingOffsets": "latest", "failOnDataLoss": "false",
+    }
+    sized = kafka_source_options(StreamConfig(max_offsets_per_trigger=1000, min_partitions=8))
+    assert (sized["maxOffsetsPerTrigger"], sized["minPartitions"]) == ("1000", "8")
+
+
+def test_topic_sink():
+    config = StreamConfig(broker="b:1")
+    assert kafka_sink_options(config, config.topic_critical) == {
+        "kafka.bootstrap.servers": "b:1", "topic": "critical-traffic", "kafka.acks": "all",
+    }
+
+
+def test_environment_and_overrides():
+    env = {"KAFKA_BROKER": "b:1", "TOPIC_IN": "in", "TOPIC_CRITICAL": "", "CHECKPOINT_DIR": "/c"}
+    config = StreamConfig.from_env(env, topic_in="other")
+    assert (config.broker, config.topic_in, config.topic_critical) == ("b:1", "other", "critical-traffic")
+    assert config.checkpoint_base == "/c"
+    database = JdbcConfig.from_env({"PG_URL": "jdbc:x", "PG_USER": "u", "PG_PASS": "hidden"})
+    assert (database.url, database.user, database.password) == ("jdbc:x", "u", "hidden")
+    assert "hidden" not in repr(database)
+
+
+def test_database_options():
+    database = JdbcConfig(url="jdbc:x", user="u", password="p", max_connections=4, batch_size=50)
+    written = jdbc_write_options(database, "congestion_index")
+    assert written == {
+        "url": "jdbc:x", "dbtable": "congestion_index", "user": "u", "password": "p",
+        "driver": "org.postgresql.Driver", "numPartitions": "4", "batchsize": "50",
+    }
+    read = jdbc_read_options(database, "t", "window_start", "2025-07-15", "2025-07-16")
+    assert (read["partitionColumn"], read["lowerBound"], read["upperBound"], read["numPartitions"]) == (
+        "window_start", "2025-07-15", "2025-07-16", "4")
+    assert "partitionColumn" not in jdbc_read_options(database, "t")
+    with pytest.raises(ValueError):
+        jdbc_read_options(database, "t", "window_start")
+
+
+def test_checkpoints_lie_in_the_shared_folder(spark):
+    shared = shared_folder(spark)
+    assert shared == spark.conf.get("spark.checkpoint.dir")
+    assert checkpoint_path(spark, StreamConfig(), "critical") == f"{shared}/critical"
+    assert checkpoint_path(spark, StreamConfig(checkpoint_base="/c/"), "critical") == "/c/critical"
+    assert new_run_folder(spark, "x") != new_run_folder(spark, "x")
+
+
+def test_session_settings(spark):
+    assert SETTINGS["spark.sql.session.timeZone"] == "UTC"
+    assert build_session("again").conf.get("spark.sql.adaptive.enabled") == "true"

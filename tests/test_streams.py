@@ -90,20 +90,22 @@ def minute_totals(rows):
     return [(row.window_start.strftime("%H:%M"), row.total_vehicles) for row in rows]
 
 
-@pytest.mark.parametrize("files, updates, final", [
-    (LATE_COUNTED,
+@pytest.mark.parametrize("files, dropped, updates, final", [
+    (LATE_COUNTED, 0,
      [("08:00", 10), ("08:00", 30), ("08:05", 5), ("08:00", 129), ("08:05", 6), ("08:20", 1)],
      [("08:00", 129), ("08:05", 6)]),
-    (LATE_DROPPED,
+    (LATE_DROPPED, 1,
      [("08:00", 10), ("08:05", 5), ("08:05", 6), ("08:05", 7), ("08:05", 8)],
      [("08:00", 10)]),
 ])
-def test_updates_and_final_windows(spark, topic, config, tmp_path, files, updates, final):
+def test_updates_and_final_windows(spark, topic, config, tmp_path, files, dropped, updates, final):
     topic.add_readings(files)
     live, table = f"{tmp_path}/live", f"{tmp_path}/final"
     sink = table_sink(live, "window_start", "window_date")
     run(Q.start_live_congestion(readings(spark, topic), config, sink, ONCE))
-    run(Q.start_congestion_table(readings(spark, topic), config, table, ONCE))
+    query = run(Q.start_congestion_table(readings(spark, topic), config, table, ONCE))
+    counts = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
+    assert sum(counts) == dropped
 
     changes = read_live_windows(spark, live)
     in_order = changes.orderBy("batch_id", "window_start").collect()
@@ -113,13 +115,6 @@ def test_updates_and_final_windows(spark, topic, config, tmp_path, files, update
     assert minute_totals(newest) == sorted(dict(updates).items())
 
 
-def test_late_row_is_reported_as_dropped(spark, topic, config, tmp_path):
-    topic.add_readings(LATE_DROPPED)
-    query = run(Q.start_congestion_table(readings(spark, topic), config, f"{tmp_path}/t", ONCE))
-    dropped = [p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in query.recentProgress]
-    assert sum(dropped) == 1
-
-
 def test_alerts_ignore_the_watermark(spark, topic, config, tmp_path):
     topic.add_readings(LATE_DROPPED)
     sink = table_sink(f"{tmp_path}/alerts", "alert_time", "alert_date")

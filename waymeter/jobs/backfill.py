@@ -1,6 +1,6 @@
 """Raw readings in files to the window table: the stream's transforms as one batch.
 
-    spark-submit -m waymeter.jobs.backfill --raw <folder> --tables <folder>
+    spark-submit -m waymeter.jobs.backfill --raw <folder> --tables <folder> [--days 2025-07-01 2025-07-31]
 """
 
 from __future__ import annotations
@@ -8,6 +8,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from waymeter.operators.windows import congestion_stored, congestion_windows
 from waymeter.session import build_session
@@ -15,17 +16,25 @@ from waymeter.sinks.files import write_windows
 from waymeter.sources.tables import read_raw
 
 
-def backfill_windows(readings: DataFrame, tables: str) -> None:
-    write_windows(congestion_stored(congestion_windows(readings)), f"{tables}/congestion_index")
+def backfill_windows(raw: DataFrame, tables: str, days: list[str] | None = None) -> None:
+    """Rebuild the windows of whole UTC dates, from `days[0]` to `days[1]` inclusive, or of all.
+
+    Dates are those of the archive's partitions. As windows divide a date evenly, no window is cut.
+    """
+    if days is not None:
+        first, last = (F.lit(day).cast("date") for day in days)
+        raw = raw.filter(F.col("event_date").between(first, last))
+    write_windows(congestion_stored(congestion_windows(raw)), f"{tables}/congestion_index")
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--raw", required=True, help="folder of the raw archive")
     parser.add_argument("--tables", required=True, help="folder of the file tables")
+    parser.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="UTC dates to rebuild")
     options = parser.parse_args(arguments)
     spark = build_session("traffic-backfill")
-    backfill_windows(read_raw(spark, options.raw), options.tables)
+    backfill_windows(read_raw(spark, options.raw), options.tables, options.days)
 
 
 if __name__ == "__main__":

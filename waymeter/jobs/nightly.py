@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from waymeter.config import DEFAULTS, JdbcConfig, TrafficConfig
 from waymeter.functions.times import UTC, day_bounds
 from waymeter.operators.hourly import hourly_rollup, windows_of_day
+from waymeter.operators.windows import latest_windows
 from waymeter.plans.nightly import nightly_report
 from waymeter.plans.reports import (
     chart_series,
@@ -77,7 +78,10 @@ def main(arguments: list[str] | None = None) -> None:
             F.date_format(edge, "yyyy-MM-dd HH:mm:ss") for edge in day_bounds(options.day, options.tz)
         ]).first()
         strides = {"lower": lower, "upper": upper}
-        windows = read_table(spark, database, "congestion_index", column="window_start", **strides)
+        # Rows are appended at least once there, so a window may have several.
+        windows = latest_windows(
+            read_table(spark, database, "congestion_index", column="window_start", **strides)
+        )
         alerts = read_table(spark, database, "critical_alerts", column="alert_time", **strides)
     else:
         windows = read_windows(spark, f"{options.tables}/congestion_index")

@@ -62,8 +62,11 @@ def with_recorded_at(stored: DataFrame) -> DataFrame:
     return stored.withColumn("recorded_at", F.current_timestamp())
 
 
-def latest_windows(live: DataFrame) -> DataFrame:
-    """The newest state of each window in a table that stores one row per change."""
-    return first_per_group(
-        live, WINDOW_KEY, [F.col("recorded_at").desc_nulls_last(), F.col("batch_id").desc_nulls_last()]
-    )
+def latest_windows(rows: DataFrame) -> DataFrame:
+    """The newest state of each window in a table that may hold several rows per window.
+
+    Such are the live table, which stores every change, and a table appended to at least once. Where
+    the clock cannot tell, the larger total is the newer one, as a window only grows.
+    """
+    order = [name for name in ("recorded_at", "batch_id", "total_vehicles") if name in rows.columns]
+    return first_per_group(rows, WINDOW_KEY, [F.col(name).desc_nulls_last() for name in order])

@@ -57,7 +57,7 @@ def order_volume(table: DataFrame) -> DataFrame:
 def peak_volume(table: DataFrame) -> DataFrame:
     """Each sensor's busiest hour per day with its level; of equals the earliest."""
     return first_per_group(
-        table,
+        table.filter(F.col("sensor_id").isNotNull()),
         ["day", "sensor_id"],
         [F.col("total_vehicles").desc_nulls_last(), F.col("hour"), F.col("junction_name")],
     )
