@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from waymeter.catalogue.queries import QUERIES
 from waymeter.operators.hourly import hourly_rollup, peak_hours, windows_of_day
+from waymeter.operators.alerts import critical_alerts
+from waymeter.operators.messages import bad_records, decode_messages, good_records
 from waymeter.operators.windows import congestion_stored, congestion_windows
+from waymeter.schemas import RAW_MESSAGE
 from waymeter.sinks.files import write_windows
 from waymeter.sources.events import events_between, read_events, readings_from_events
 from waymeter.sources.tables import read_windows
@@ -88,3 +91,13 @@ def test_backfill_writes_few_files(spark, tmp_path):
     stored = congestion_stored(congestion_windows(readings_from_events(read_events(spark, FOLDER))))
     write_windows(stored, f"{tmp_path}/w")
     assert len(list((tmp_path / "w").rglob("*.parquet"))) == 30
+
+
+def test_each_message_is_parsed_once(spark):
+    messages = spark.createDataFrame([], RAW_MESSAGE)
+    decoded = decode_messages(messages)
+    for frame in (congestion_windows(decoded), critical_alerts(decoded), bad_records(decoded),
+                  good_records(decoded)):
+        tree = plan_of(frame)
+        assert len(re.findall(r"inline\(array\(from_json", tree)) >= 1
+        assert not re.search(r"Condition : .*from_json", tree)

@@ -69,7 +69,11 @@ def topic(tmp_path):
 
 @pytest.fixture
 def config(tmp_path):
-    return StreamConfig(checkpoint_base=f"{tmp_path}/checkpoints")
+    at_once = "0 seconds"
+    return StreamConfig(
+        checkpoint_base=f"{tmp_path}/checkpoints", congestion_trigger=at_once,
+        critical_trigger=at_once, archive_trigger=at_once,
+    )
 
 
 def decoded(spark, topic):
