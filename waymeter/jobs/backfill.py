@@ -1,6 +1,7 @@
 """Raw readings in files to the window table: the stream's transforms as one batch.
 
-    spark-submit -m waymeter.jobs.backfill --raw <folder> --tables <folder> [--days 2025-07-01 2025-07-31]
+    spark-submit --py-files waymeter.zip waymeter/jobs/backfill.py --raw <folder> --tables <folder> \\
+        [--days 2025-07-01 2025-07-31]
 """
 
 from __future__ import annotations

@@ -1,7 +1,7 @@
 """The nightly application: the day's windows to the daily peak table, CSV files and text reports.
 
-    spark-submit -m waymeter.jobs.nightly --day 2025-07-15 --tz Asia/Colombo --tables <folder> \\
-        --reports <folder>
+    spark-submit --py-files waymeter.zip waymeter/jobs/nightly.py --day 2025-07-15 \\
+        --tz Asia/Colombo --tables <folder> --reports <folder>
 """
 
 from __future__ import annotations

@@ -1,6 +1,7 @@
 """The streaming application: topic in; window table, alert table and alert topic out.
 
-    spark-submit --packages <kafka connector>[,<jdbc driver>] -m waymeter.jobs.stream --tables <folder>
+    spark-submit --packages <kafka connector>[,<jdbc driver>] --py-files waymeter.zip \\
+        waymeter/jobs/stream.py --tables <folder>
 """
 
 from __future__ import annotations
