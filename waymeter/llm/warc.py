@@ -180,8 +180,8 @@ ARROW = pa.schema([
 def index_runs(manifest: DataFrame, folder: str) -> DataFrame:
     """Reads every archive of the manifest back; its captures come sorted by URL key and time: one run each.
 
-    Archives are dealt out by number of tasks, not read where they were written. A run holds index rows only,
-    at most what one archive of bounded size has.
+    One task per archive: the manifest's rows are a few bytes, by which AQE would send them all to one task, so
+    their number is given. A run holds index rows only, at most what one archive of bounded size has.
     """
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -192,7 +192,7 @@ def index_runs(manifest: DataFrame, folder: str) -> DataFrame:
                 for at in range(0, len(run), 10_000):
                     yield _batch(run[at:at + 10_000], ARROW)
 
-    return manifest.select("archive").repartition("archive").mapInArrow(read, CAPTURES)
+    return manifest.select("archive").repartition(max(1, manifest.count())).mapInArrow(read, CAPTURES)
 
 
 def merged(runs: list[list[tuple]]) -> Iterator[tuple]:
