@@ -208,6 +208,16 @@ def train(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
     rows = texts.join(F.broadcast(some.withColumnRenamed("doc_id", "id")), "id").select(
         "toxic", "body", (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(3)) == 0).alias("weighs"))
+    # Copies of a toxic text would make terms of all its words: of the texts that agree in the least hash of their
+    # windows of three words, for one of two hashes, one is read. Near copies agree so, other texts do not.
+    rows = rows.withColumn("words", F.split(F.lower("body"), r"\s+"))
+    word = lambda k: F.coalesce(F.get("words", k), F.lit(""))
+    least = lambda seed: F.array_min(F.transform(
+        F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda k: F.xxhash64(word(k), word(k + 1), word(k + 2), F.lit(seed))))
+    rows = rows.withColumns({f"least{seed}": least(seed) for seed in (1, 2)})
+    for seed in (1, 2):
+        rows = rows.dropDuplicates(["toxic", f"least{seed}"])
+    rows = rows.select("toxic", "body", "weighs")
     rows = written(rows, "labelled")
     sizes = {(r.weighs, r.toxic): r["count"] for r in rows.groupBy("weighs", "toxic").count().collect()}
     toxic, clean = sizes.get((False, 1), 0), sizes.get((False, 0), 0)
