@@ -6,9 +6,10 @@ Poisson process of points in time over its weight, kept in dyadic blocks of weig
 owns the points below w, whatever block they lie in, so two documents share exactly the points of the weight
 that they share. Each register keeps its earliest point; equal registers are an unbiased estimate of the overlap.
 
-Documents with equal registers in a band meet in a bucket. In a bucket every member is compared with one centre;
-components that remain apart get other centres, and what is still apart after that is compared pair by pair, so
-no link between members of a bucket is lost, while a large group of copies costs one comparison for each.
+Documents with equal registers in a band meet in a bucket. In a bucket every member is compared with one centre,
+and components that remain apart with another: a large group of copies costs a comparison or two for each. What
+is still apart is compared exactly, block by block, so no link between members of a bucket is lost, and no row
+is made for a pair.
 """
 
 from __future__ import annotations
@@ -29,7 +30,9 @@ SHINGLE = 5
 REGISTERS, ROWS = 80, 4
 #: An overlap of NEAR_PARTS / NEAR_WHOLE or more is a link.
 NEAR_PARTS, NEAR_WHOLE = 4, 5
-CENTRES = 3
+CENTRES = 2
+#: Classes and shingles of a block, of which two meet in a task.
+BLOCK, ELEMENTS = 512, 400_000
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -179,28 +182,100 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         run, "a binary, b binary")
 
 
-def _candidates(members: DataFrame, labels: DataFrame, attempt: int) -> DataFrame:
-    """Pairs (a, b), a < b, of members of a bucket that lie in different components.
-
-    The first attempts compare with one centre per bucket; from CENTRES on every pair is named, through the
-    pairs of components that share a bucket.
-    """
+def _centred(members: DataFrame, labels: DataFrame, attempt: int) -> DataFrame:
+    """Pairs (a, b), a < b, of a bucket's centre and each member in another component; centres differ by attempt."""
     of = members.join(labels, "class", "left").withColumn("part", F.coalesce("part", "class"))
-    mixed_ = of.groupBy("bucket").agg(
+    apart = of.groupBy("bucket").agg(
         F.min("part").alias("low"), F.max("part").alias("high"),
-        F.min_by("class", F.struct(F.xxhash64("class", F.lit(attempt)), "class")).alias("centre"),
-    ).where("low <> high")
-    of = of.join(mixed_.select("bucket", "centre"), "bucket")
-    if attempt < CENTRES:
-        centre = of.where("class = centre").select("bucket", F.col("part").alias("centre_part")).distinct()
-        pairs = of.join(centre, "bucket").where("part <> centre_part").select(F.col("centre").alias("a"), F.col("class").alias("b"))
-    else:
-        parts = of.select("bucket", "part").distinct()
-        meets = parts.select("bucket", F.col("part").alias("p")).join(parts.select("bucket", F.col("part").alias("q")), "bucket").where("p < q")
-        left = of.select("bucket", F.col("part").alias("p"), F.col("class").alias("a"))
-        right = of.select("bucket", F.col("part").alias("q"), F.col("class").alias("b"))
-        pairs = meets.join(left, ["bucket", "p"]).join(right, ["bucket", "q"]).select("a", "b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        F.min_by(F.struct(F.col("class").alias("centre"), F.col("part").alias("centre_part")), F.struct(F.xxhash64("class", F.lit(attempt)), "class")).alias("c"),
+    ).where("low <> high").select("bucket", "c.*")
+    pairs = of.join(apart, "bucket").where("part <> centre_part")
+    return pairs.select(F.least("centre", "class").alias("a"), F.greatest("centre", "class").alias("b")).distinct()
+
+
+def links_between(classes: list[bytes], parts: list[bytes], sets: list[tuple[bytes, bytes]]) -> list[tuple[bytes, bytes]]:
+    """Links that join the classes of different parts into components, one per class at most, from the exact
+    overlaps of all pairs. Each occurrence of a shingle is an element of its own, so overlaps are those of sets;
+    they are summed as products of indicator columns, some thousand at a time."""
+    keys, rows, sizes = [], [], np.zeros(len(sets), np.int64)
+    for k, (shingles, times) in enumerate(sets):
+        found, often = np.frombuffer(shingles, np.uint64), np.frombuffer(times, "<u4").astype(np.int64)
+        number = np.arange(often.sum()) - np.repeat(np.cumsum(often) - often, often)
+        keys.append(mixed(np.repeat(found, often) + number.astype(np.uint64) * _STEP))
+        rows.append(np.full(len(number), k))
+        sizes[k] = len(number)
+    _, column, often = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    row = np.concatenate(rows)
+    shared = often[column] > 1
+    row, column = row[shared], column[shared]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], np.searchsorted(np.unique(column), column[order])
+    both = np.zeros((len(sets), len(sets)), np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 4096):
+        first, last = np.searchsorted(column, [at, at + 4096])
+        block = np.zeros((len(sets), 4096), np.float32)
+        block[row[first:last], column[first:last] - at] = 1
+        used = np.flatnonzero(block.any(1))
+        both[np.ix_(used, used)] += block[used] @ block[used].T
+    near = NEAR_WHOLE * both >= NEAR_PARTS * (sizes[:, None] + sizes[None] - both)
+    top = {p: p for p in parts}
+
+    def root(p: bytes) -> bytes:
+        while top[p] != p:
+            top[p] = top[top[p]]
+            p = top[p]
+        return p
+
+    out = []
+    for i, j in zip(*np.nonzero(np.triu(near, 1))):
+        p, q = root(parts[i]), root(parts[j])
+        if p != q:
+            top[max(p, q)] = min(p, q)
+            out.append((classes[i], classes[j]))
+    return out
+
+
+def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links (a, b) between components that centres left apart: exact, and without a row per pair.
+
+    Classes that buckets join, directly or through others, are a family. Its components of BLOCK classes or more
+    are cut into blocks of their own, the others are pooled; blocks hold at most about BLOCK classes and ELEMENTS
+    shingles. Each pair of blocks is one task, but for two of one component; it gets both blocks' multisets and
+    returns links that join components, fewer than it has classes.
+    """
+    low = members.groupBy("bucket").agg(F.min("class").alias("b"))
+    families = components(members.join(low, "bucket").select(F.col("class").alias("a"), "b"))
+    of = families.select(F.col("node").alias("class"), F.col("component").alias("family")).join(labels, "class", "left")
+    of = of.withColumn("part", F.coalesce("part", "class")).join(
+        sets.select("class", (F.octet_length("shingles") / 8).cast("long").alias("size")), "class")
+    parts = of.groupBy("family", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    pool = F.when(F.col("n") >= BLOCK, F.col("part"))
+    pools = parts.groupBy("family", pool.alias("pool")).agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    cuts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / ELEMENTS)).cast("int")
+    pools = pools.select("family", "pool", cuts.alias("cuts"), "parts")
+    alone = pools.groupBy("family").agg(F.sum("parts").alias("parts")).where("parts = 1").select("family")
+    pools = written(pools.join(alone, "family", "left_anti"), "family-pools")
+    placed = of.join(parts.select("family", "part", pool.alias("pool")), ["family", "part"])
+    same = placed["family"].eqNullSafe(pools["family"]) & placed["pool"].eqNullSafe(pools["pool"])
+    placed = placed.join(pools, same).select(
+        placed["family"], "class", "part", F.struct(placed["pool"], F.pmod(F.xxhash64("class"), "cuts").alias("cut")).alias("block"))
+    placed = written(placed, "family-blocks")
+    blocks = pools.select("family", F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: F.struct("pool", k.cast("long").alias("cut")))).alias("block"))
+    meets = blocks.join(blocks.select("family", F.col("block").alias("other")), "family").where(
+        "block <= other AND NOT (block.pool <=> other.pool AND block.pool IS NOT NULL)")
+    meets = written(meets, "family-meetings")
+    ends = meets.select("family", "block", "other", F.explode(F.array_distinct(F.array("block", "other"))).alias("mine"))
+    mine = placed.withColumnRenamed("block", "mine").withColumn("pool", F.coalesce(F.col("mine.pool"), F.lit(b""))).withColumn("cut", F.col("mine.cut")).drop("mine")
+    ends = ends.withColumn("pool", F.coalesce(F.col("mine.pool"), F.lit(b""))).withColumn("cut", F.col("mine.cut")).drop("mine")
+    rows = ends.join(mine, ["family", "pool", "cut"]).select(
+        "class", "part", F.sha2(F.to_json(F.struct("family", "block", "other")), 256).alias("task"))
+    rows = rows.join(sets, "class")
+
+    def compare(group: pa.Table) -> pa.Table:
+        found = links_between(group["class"].to_pylist(), group["part"].to_pylist(), list(zip(group["shingles"].to_pylist(), group["times"].to_pylist())))
+        return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+
+    return rows.groupBy("task").applyInArrow(compare, "a binary, b binary")
 
 
 def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -210,22 +285,24 @@ def links(classes: DataFrame, docs: DataFrame) -> DataFrame:
     # A bucket that holds one class only goes before anything else is done with it.
     shared = banded.groupBy("bucket").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("bucket")
     members = written(banded.join(shared, "bucket").select("bucket", "class").distinct(), "bucket-members")
-    involved = written(members.select("class").distinct().join(classes.select("class", "doc_id"), "class").select("doc_id").distinct(), "involved")
-    texts = docs.join(involved, "doc_id", "left_semi").select("text")
     wanted = members.select("class").distinct()
+    involved = written(wanted.join(classes.select("class", "doc_id"), "class").select("doc_id").distinct(), "involved")
+    texts = docs.join(involved, "doc_id", "left_semi").select("text")
     sets = written(elements(texts).dropDuplicates(["class"]).join(wanted, "class", "left_semi"), "multisets")
     nothing = spark.createDataFrame([], "a binary, b binary")
     tried, found = nothing, nothing
     labels = spark.createDataFrame([], "class binary, part binary")
-    for attempt in range(CENTRES + 1):
-        pairs = _candidates(members, labels, attempt)
+    for attempt in range(CENTRES):
+        pairs = _centred(members, labels, attempt)
         pairs = written(pairs.join(tried, ["a", "b"], "left_anti") if attempt else pairs, "candidates")
-        if pairs.isEmpty():
-            continue
         found = found.unionByName(written(verified(pairs, sets), "verified"))
         tried = tried.unionByName(pairs)
-        labels = components(found).select(F.col("node").alias("class"), F.col("component").alias("part"))
-    return labels
+        labels = _labelled(found)
+    return _labelled(found.unionByName(written(_rest(members, labels, sets), "verified")))
+
+
+def _labelled(found: DataFrame) -> DataFrame:
+    return written(components(found).select(F.col("node").alias("class"), F.col("component").alias("part")), "labels")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
