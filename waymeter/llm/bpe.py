@@ -16,7 +16,7 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
-ENTRIES = 500_000
+ENTRIES = 250_000
 _TAIL = ".,;:!?%$*&#|"
 _WHITE = b" \t\n\v\f\r"
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")

@@ -29,7 +29,8 @@ SHARE, MIN_TEXTS, LOG_ODDS = 0.01, 4, 2.0
 STEM_MIN, STEM_MAX = 4, 10
 EDITS, EDIT_LENGTH = 1, 5
 WINDOW = 20
-ENTRIES = 600_000
+#: Words that a worker remembers, and terms that a task counts before it sends them on.
+ENTRIES = 100_000
 END = "$"
 WORD = re.compile(r"[^\W\d_]+")
 SPAN = re.compile(r"(?P<word>[^\W\d_]+)|(?P<open>[“«„])|(?P<close>[”»])|(?P<both>\")|(?P<line>\n)")
