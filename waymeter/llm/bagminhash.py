@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymeter.llm.components import components
-from waymeter.llm.shared import written
+from waymeter.llm.shared import worker_state, written
 from waymeter.llm.words import mixed, portions, word_hashes
 
 SHINGLE = 5
@@ -126,8 +126,9 @@ def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, class (digest of the multiset; null without words or id), bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            worker_state("bagminhash", object)
             texts, ids = batch.column(1).to_pylist(), batch.column(0)
-            for a, b in portions(texts):
+            for a, b in portions(texts, 1 << 20):
                 sets = shingle_sets(texts[a:b])
                 bands = band_hashes(signatures(sets))
                 valid = ids[a:b].is_valid().to_pylist()

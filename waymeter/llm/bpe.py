@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
+from functools import cached_property
 
 import numpy as np
 from tokenizers import Tokenizer
 
+from waymeter.llm.shared import worker_state
+
 ENTRIES = 250_000
 _TAIL = ".,;:!?%$*&#|"
 _WHITE = b" \t\n\v\f\r"
@@ -148,28 +150,40 @@ class Decoder:
         return " ".join(map(self.digits.__getitem__, ids))
 
 
-@lru_cache(maxsize=4)
-def _encoder(vocabulary: str) -> FragmentEncoder:
-    return FragmentEncoder(vocabulary, _as_bytes)
+class _Kept:
+    """A vocabulary's encoder, counter and decoder, made when first used."""
+
+    def __init__(self, vocabulary: str):
+        self.vocabulary = vocabulary
 
+    @cached_property
+    def encoder(self) -> FragmentEncoder:
+        return FragmentEncoder(self.vocabulary, _as_bytes)
 
-@lru_cache(maxsize=4)
-def _counter(vocabulary: str) -> FragmentEncoder:
-    return FragmentEncoder(vocabulary, len)
+    @cached_property
+    def counter(self) -> FragmentEncoder:
+        return FragmentEncoder(self.vocabulary, len)
 
+    @cached_property
+    def decoder(self) -> Decoder:
+        return Decoder(self.vocabulary)
 
-@lru_cache(maxsize=4)
-def decoder(vocabulary: str) -> Decoder:
-    return Decoder(vocabulary)
 
+def _kept(vocabulary: str) -> _Kept:
+    return worker_state(("bpe", vocabulary), lambda: _Kept(vocabulary))
 
-# One encoder per worker and vocabulary: its fragments stay known across the worker's tasks.
+
+# Fragments stay known across a worker's tasks.
 
 
 def encode(vocabulary: str, text: str | None) -> bytes:
     """The text's ids as little-endian unsigned 32-bit numbers; null is the empty text."""
-    return b"".join(_encoder(vocabulary).entries_of(text))
+    return b"".join(_kept(vocabulary).encoder.entries_of(text))
 
 
 def count(vocabulary: str, text: str | None) -> int:
-    return sum(_counter(vocabulary).entries_of(text))
+    return sum(_kept(vocabulary).counter.entries_of(text))
+
+
+def decoder(vocabulary: str) -> Decoder:
+    return _kept(vocabulary).decoder

@@ -17,7 +17,7 @@ from waymeter.llm import bpe
 def _mapped(rows: DataFrame, key: str, value: str, added: list[tuple[str, str, pa.DataType]], work) -> DataFrame:
     schema = T.StructType([T.StructField(key, rows.schema[key].dataType)])
     for name, kind, _ in added:
-        schema = schema.add(name, kind)
+        schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -227,15 +227,8 @@ class Opened:
         }
 
 
-_OPENED: dict[bytes, Opened] = {}
-
-
 def opened(model: Model) -> Opened:
-    key = pickle.dumps(model)
-    if key not in _OPENED:
-        _OPENED.clear()
-        _OPENED[key] = Opened(model)
-    return _OPENED[key]
+    return shared.worker_state(pickle.dumps(model), lambda: Opened(model))
 
 
 def train(texts: DataFrame) -> Model:

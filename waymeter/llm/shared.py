@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from waymeter.session import new_run_folder
 
@@ -26,10 +29,6 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def nullable(schema: str) -> T.StructType:
-    return T.StructType.fromDDL(schema)
-
-
 def scan_partitions(df: DataFrame) -> int:
     """How many tasks read `df`; it grows with the input, and so does what is derived from it."""
     return max(1, df.rdd.getNumPartitions())
@@ -39,6 +38,27 @@ def power_of_two(at_least: int) -> int:
     return 1 << max(0, int(at_least) - 1).bit_length()
 
 
+_STATE: dict = {}
+
+
+def worker_state(key, make):
+    """What a worker keeps across its tasks, such as an opened model: that of one operator at a time. What the
+    operator before it kept is given back to the system, as a worker serves many operators in its life."""
+    if key not in _STATE:
+        if _STATE:
+            _STATE.clear()
+            give_back()
+        _STATE[key] = make()
+    return _STATE[key]
+
+
+def give_back() -> None:
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call and need none
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 # Files that tasks write beside Spark's own tables. A name holds a fresh id, so a task that runs again
 # never touches an earlier attempt's file; only files named by the rows of a finished job are read.
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymeter.llm.shared import written
+from waymeter.llm.shared import worker_state, written
 
 #: Labelled rows that lexicon and weights are fitted on, at most; chosen by a hash of the id.
 LABELLED = 16_384
@@ -183,17 +183,12 @@ class Model:
     weights: tuple[float, ...]
 
 
-_KNOWN: dict[int, tuple[dict, _Known]] = {}
-
-
 def _known(model: Model) -> _Known:
     """One per worker, and emptied when it holds ENTRIES words."""
-    held = _KNOWN.get(0)
-    if held is None or held[0] != model.terms:
-        held = _KNOWN[0] = (model.terms, _Known(Lexicon(model.terms)))
-    if len(held[1]) > ENTRIES:
-        held[1].clear()
-    return held[1]
+    held = worker_state(("lexicon", *sorted(model.terms.items())), lambda: _Known(Lexicon(model.terms)))
+    if len(held) > ENTRIES:
+        held.clear()
+    return held
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
@@ -263,7 +258,8 @@ def _scores(rows: DataFrame, model: Model, carried: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = [features(t, _known(model)) for t in batch.column(1).to_pylist()]
+            texts = batch.column(1).to_pylist()
+            out = [x for a in range(0, len(texts), 100) for known in [_known(model)] for x in (features(t, known) for t in texts[a:a + 100])]
             x = np.array(out).reshape(len(out), FEATURES)
             score = 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ weights, -30, 30))) if len(weights) else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64())), pa.array(score)], [carried, "features", "score"])

@@ -36,7 +36,7 @@ class Forest:
     seed: int = 7
 
 
-def unit_rows(data: list) -> tuple[np.ndarray, np.ndarray]:
+def unit_rows(data: list) -> tuple[list[np.ndarray], list[int]]:
     """Unit vectors in double precision, and the places of the rows that have one. Null, empty and zero vectors
     and those with null or non-finite components have none."""
     kept, vectors = [], []
@@ -50,7 +50,7 @@ def unit_rows(data: list) -> tuple[np.ndarray, np.ndarray]:
         vector = vector / top  # so that squares neither overflow nor vanish
         kept.append(k)
         vectors.append(vector / np.sqrt(vector @ vector))
-    return (np.array(vectors) if vectors else np.empty((0, 0))), np.array(kept, np.int64)
+    return vectors, kept
 
 
 @dataclass
