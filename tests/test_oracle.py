@@ -4,6 +4,8 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_points
+from waymeter.catalogue.oracle import ORACLE
+from waymeter.catalogue.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -13,14 +15,15 @@ def connection():
     return compare.connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, connection, name):
-    frame = entry_points.queries()[name](spark, FOLDER)
-    assert compare.differences(frame, connection, entry_points.oracle_sql()[name]) == []
+    frame = QUERIES[name](spark, FOLDER)
+    assert compare.differences(frame, connection, ORACLE[name]) == []
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.items() <= entry_points.queries().items()
 
 
 def test_entry_is_the_flagship_query(spark):

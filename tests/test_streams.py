@@ -6,6 +6,8 @@ import time
 from datetime import datetime
 from pathlib import Path
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,7 +23,8 @@ from waymeter.sources.tables import (
     read_windows,
 )
 from waymeter.streaming import queries as Q
-from waymeter.streaming.batch_sinks import fan_out, table_sink
+from waymeter.sinks.files import write_windows
+from waymeter.streaming.batch_sinks import fan_out, spread, table_sink
 
 ONCE = {"availableNow": True}
 # One list per file: (time of day, vehicles, speed).
@@ -195,7 +198,7 @@ def test_archive_and_quarantine_share_out_the_messages(spark, topic, config, tmp
     run(Q.start_archive(decoded(spark, topic), config, f"{tmp_path}/raw", ONCE))
     run(Q.start_quarantine(decoded(spark, topic), config, f"{tmp_path}/bad", ONCE))
     raw = read_raw(spark, f"{tmp_path}/raw").collect()
-    assert [(row.sensor_id, row.vehicle_count, str(row.avg_speed)) for row in raw] == [("J1", 10, "20.00")]
+    assert [(row.sensor_id, row.vehicle_count, str(row.avg_speed)) for row in raw] == [("J1", 10, "20.0")]
     bad = {row.json_str: row.sensor_id for row in read_quarantine(spark, f"{tmp_path}/bad").collect()}
     assert bad == {"not json": None, '{"sensor_id":"J2","timestamp":"junk"}': "J2", "": None}
 
@@ -226,7 +229,46 @@ def test_all_queries_run_side_by_side(spark, topic, config, tmp_path):
 def test_a_batch_leaves_few_files(spark, topic, config, tmp_path):
     topic.add(*[message(f"08:{m:02d}:10", 1, 20.0) for m in range(0, 60, 5)])
     topic.add(message("10:00:00", 1, 20.0))
-    run(Q.start_congestion_table(readings(spark, topic), config, f"{tmp_path}/t", ONCE, writers=2))
-    files = list((tmp_path / "t").rglob("*.parquet"))
-    assert 1 <= len(files) <= 2
+    run(Q.start_congestion_table(readings(spark, topic), replace(config, writers=2), f"{tmp_path}/t", ONCE))
+    batches = [list(folder.glob("*.parquet")) for folder in (tmp_path / "t").glob("*/*")]
+    assert batches and all(1 <= len(files) <= 2 for files in batches)
     assert read_windows(spark, f"{tmp_path}/t").count() == 12
+
+
+def test_stream_backfill_and_a_new_checkpoint_share_one_table(spark, topic, config, tmp_path):
+    """No row is lost and none doubled, whichever wrote first."""
+    table = f"{tmp_path}/t"
+    topic.add(message("08:00:10", 10, 20.0), message("08:20:00", 1, 40.0))
+    run(Q.start_congestion_table(readings(spark, topic), config, table, ONCE))
+    streamed = read_windows(spark, table).count()
+    rebuilt = congestion_stored(congestion_windows(readings_as_batch(spark, topic)))
+    write_windows(rebuilt, table)
+    assert read_windows(spark, table).count() == rebuilt.count() > streamed
+    topic.add(message("09:00:00", 5, 20.0), message("09:30:00", 1, 20.0))
+    fresh = replace(config, checkpoint_base=f"{tmp_path}/other-checkpoints")
+    run(Q.start_congestion_table(readings(spark, topic), fresh, table, ONCE))
+    starts = [row.window_start for row in read_windows(spark, table).collect()]
+    assert len(starts) == len(set(starts)) == 3
+    write_windows(rebuilt, table)
+    assert read_windows(spark, table).count() == 3
+
+
+def readings_as_batch(spark, topic):
+    rows = spark.read.text(str(topic.folder)).select(F.col("value").cast("binary"), F.lit(None).cast("timestamp").alias("timestamp"))
+    return decode_messages(rows).drop("json_str")
+
+
+def test_topic_gets_the_speed_as_it_was_read(spark, topic, config, tmp_path):
+    """A speed just below the limit stays below it; NaN is no speed and no alert."""
+    topic.add(message("08:00:10", 10, 9.996), message("08:00:20", 10, float("nan")))
+    sent = []
+    sink = table_sink(f"{tmp_path}/a", "alert_time", "alert_date")
+    run(Q.start_alerts(readings(spark, topic), config, sink, ONCE, lambda batch, _: sent.extend(alert_messages(batch).collect())))
+    assert [json.loads(row.value)["avg_speed"] for row in sent] == [9.996]
+    assert [str(row.avg_speed) for row in read_alerts(spark, f"{tmp_path}/a").collect()] == ["10.00"]
+
+
+def test_one_busy_date_fills_all_writers_evenly(spark):
+    rows = spark.range(4000).selectExpr("concat('J', id) AS sensor_id")
+    sizes = [row["count"] for row in spread(rows, ["sensor_id"], 16).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.5 * min(sizes)

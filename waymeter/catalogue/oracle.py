@@ -334,13 +334,13 @@ SELECT {PEAK_COLUMNS}, reason FROM flagged WHERE reason IS NOT NULL"""),
     "volume_table": VOLUME_SQL,
     "peak_volume": _with(READING, CW, HR, VOLUME, VOLUME_PEAK, select=f"""
 SELECT {VOLUME_COLUMNS} FROM volume_peak ORDER BY day, sensor_id"""),
-    "chart_series": _with(READING, CW, HR_DAY, VOLUME, select=f"""
+    "chart_series": _with(READING, CW, HR, VOLUME, select=f"""
 SELECT sensor_id || ' – ' || junction_name AS label, printf('%02d:00', axis.hour) AS hour_label,
        total_vehicles AS vehicles, {_six('avg_speed_kmph')} AS speed,
        {_six('congestion_index')} AS ci
-FROM (SELECT DISTINCT sensor_id, junction_name FROM volume WHERE hour BETWEEN 6 AND 20)
+FROM (SELECT DISTINCT day, sensor_id, junction_name FROM volume WHERE hour BETWEEN 6 AND 20)
 CROSS JOIN (SELECT CAST(unnest(range(6, 21)) AS INTEGER) AS hour) AS axis
-LEFT JOIN volume USING (sensor_id, junction_name, hour)"""),
+LEFT JOIN volume USING (day, sensor_id, junction_name, hour)"""),
     "peak_lines": _with(READING, CW, HR, PK, select=_lines("pk", PEAK_TEXTS)),
     "intervention_lines": _with(
         READING, CW, HR, PK, FLAGGED,
@@ -366,7 +366,7 @@ WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readi
     "stream_live": _with(READING, CW, CS, select="SELECT * FROM cs"),
     "stream_alerts": STORED_ALERTS_SQL,
     "replay_decode": _with(READING, DECODED, select=f"""
-SELECT sensor_id, junction_name, event_time, vehicle_count, {_stored('avg_speed', 6)} AS avg_speed,
+SELECT sensor_id, junction_name, event_time, vehicle_count, avg_speed,
        coalesce(is_critical, false) AS is_critical, CAST(event_time AS DATE) AS event_date
 FROM decoded WHERE sensor_id IS NOT NULL AND event_time IS NOT NULL"""),
     "replay_quarantine": _with(

@@ -238,7 +238,7 @@ def peak_volume(spark, folder):
 
 
 def chart_series(spark, folder):
-    table = R.volume_table(H.hourly_rollup(_windows_of_day(spark, folder)))
+    table = R.volume_table(_hourly(spark, folder))
     return R.chart_points(R.chart_series(table)).drop("day", "sensor_id")
 
 
@@ -347,7 +347,7 @@ def replay_decode(spark, folder):
     """Messages replayed from files into the raw archive."""
     decoded, config, path = _replay(spark, folder, "archive")
     Q.start_archive(decoded, config, path, ONCE).awaitTermination()
-    return T.read_raw(spark, path).drop("ingested_at")
+    return T.read_raw(spark, path).drop("ingested_at", "batch_key")
 
 
 def replay_quarantine(spark, folder):

@@ -51,6 +51,8 @@ class StreamConfig:
     archive_trigger: str = "10 minutes"
     # Checkpoint root; None means the shared folder the session names.
     checkpoint_base: str | None = None
+    # Tasks that write one batch to a file table; None takes the number of shuffle partitions.
+    writers: int | None = None
     rules: TrafficConfig = field(default_factory=TrafficConfig)
 
     @classmethod

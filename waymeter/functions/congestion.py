@@ -37,6 +37,11 @@ def is_critical(speed: Column, rules: TrafficConfig = DEFAULTS) -> Column:
     return speed < F.lit(rules.critical_speed)
 
 
+def known_speed(speed: Column) -> Column:
+    """NaN, which JSON readers accept, is no speed."""
+    return F.when(~F.isnan(speed), speed)
+
+
 def hour_factor(hour: Column) -> Column:
     """Expected volume of an hour of day against a quiet daytime hour. The steps are fixed values."""
     return (

@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,8 +42,7 @@ def write_nightly(spark: SparkSession, windows: DataFrame, day: str, tz: str, ta
         "sensor_id", "junction_name", "peak_hour", "total_vehicles", "avg_speed", "avg_ci",
         "peak_hour_label",
     ).orderBy("sensor_id")
-    if not stored.isEmpty():
-        write_csv(peaks, f"{reports}/traffic_report_{day}")
+    write_csv(peaks, f"{reports}/traffic_report_{day}")  # of a day without rows the header only
     write_lines(nightly_text_report(stored, day), f"{reports}/police_intervention_{day}")
     return stored
 
@@ -56,6 +56,8 @@ def write_volume_reports(windows: DataFrame, alerts: DataFrame, stored: DataFram
     chart_series(volume).write.mode("overwrite").json(f"{reports}/traffic_report_chart_{day}")
     start, end = day_bounds(day, tz)
     of_day = alerts.filter((F.col("alert_time") >= start) & (F.col("alert_time") < end))
+    if "alert_date" in alerts.columns:  # the partition column, in UTC
+        of_day = of_day.filter(F.col("alert_date").between(F.to_date(start), F.to_date(end)))
     lines = summary_text_report(
         peak_volume(volume), of_day, stored.filter("needs_police"), day, tz, rules=rules
     )
@@ -64,7 +66,7 @@ def write_volume_reports(windows: DataFrame, alerts: DataFrame, stored: DataFram
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
-    parser.add_argument("--day", required=True, help="local day, as 2025-07-15")
+    parser.add_argument("--day", required=True, type=lambda text: date.fromisoformat(text).isoformat(), help="local day, as 2025-07-15")
     parser.add_argument("--tz", default=UTC, help="zone of the day and of the hours")
     parser.add_argument("--tables", required=True, help="folder of the file tables")
     parser.add_argument("--reports", required=True, help="folder of the reports")
@@ -82,7 +84,8 @@ def main(arguments: list[str] | None = None) -> None:
         windows = latest_windows(
             read_table(spark, database, "congestion_index", column="window_start", **strides)
         )
-        alerts = read_table(spark, database, "critical_alerts", column="alert_time", **strides)
+        alerts = read_table(spark, database, "critical_alerts", column="alert_time", **strides).dropDuplicates(
+            ["sensor_id", "junction_name", "alert_time", "avg_speed", "vehicle_count"])
     else:
         windows = read_windows(spark, f"{options.tables}/congestion_index")
         alerts = read_alerts(spark, f"{options.tables}/critical_alerts")

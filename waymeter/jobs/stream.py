@@ -12,7 +12,7 @@ from waymeter.config import JdbcConfig, StreamConfig
 from waymeter.operators.messages import decode_readings
 from waymeter.session import build_session
 from waymeter.sources.kafka import stream_messages
-from waymeter.streaming.batch_sinks import alert_topic_sink, fan_out, jdbc_sink, table_sink
+from waymeter.streaming.batch_sinks import alert_topic_sink, jdbc_sink, table_sink
 from waymeter.streaming.queries import start_alerts, start_all, start_congestion_sink
 
 
@@ -21,25 +21,29 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--tables", help="folder of the file tables; without it, JDBC tables are used")
     parser.add_argument("--live", action="store_true", help="store every change of open windows too")
     parser.add_argument("--archive", action="store_true", help="keep raw readings and bad messages")
+    parser.add_argument("--writers", type=int, help="tasks that write one batch to a file table")
+    parser.add_argument("--starting-offsets", default="latest", help="where a new checkpoint starts in the topic")
+    parser.add_argument("--max-offsets", type=int, help="messages of one batch at most")
     options = parser.parse_args(arguments)
     if not options.tables and (options.live or options.archive):
         parser.error("--live and --archive need --tables")
 
-    config = StreamConfig.from_env()
+    config = StreamConfig.from_env(
+        writers=options.writers, starting_offsets=options.starting_offsets, max_offsets_per_trigger=options.max_offsets)
     spark = build_session("traffic-stream")
     messages = stream_messages(spark, config)
     topic = alert_topic_sink(config)
     if options.tables:
-        alerts = table_sink(f"{options.tables}/critical_alerts", "alert_time", "alert_date")
+        alerts = table_sink(f"{options.tables}/critical_alerts", "alert_time", "alert_date", config.writers)
         live = None
         if options.live:
-            live = table_sink(f"{options.tables}/congestion_live", "window_start", "window_date")
-        start_all(messages, config, options.tables, fan_out(alerts, topic), live, options.archive)
+            live = table_sink(f"{options.tables}/congestion_live", "window_start", "window_date", config.writers)
+        start_all(messages, config, options.tables, alerts, live, options.archive, topic)
     else:
         database = JdbcConfig.from_env()
         readings = decode_readings(messages)
         start_congestion_sink(readings, config, jdbc_sink(database, "congestion_index"))
-        start_alerts(readings, config, fan_out(jdbc_sink(database, "critical_alerts"), topic))
+        start_alerts(readings, config, jdbc_sink(database, "critical_alerts"), topic=topic)
     spark.streams.awaitAnyTermination()
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymeter.config import DEFAULTS, TrafficConfig
+from waymeter.functions.congestion import known_speed
 from waymeter.functions.text import ALERT_TIME, ISO_UTC
 from waymeter.schemas import READING_MESSAGE
 
@@ -24,6 +25,7 @@ def decode_messages(messages: DataFrame) -> DataFrame:
         messages.selectExpr("CAST(value AS STRING) AS json_str", "timestamp AS kafka_ts")
         .select(parsed, "kafka_ts", "json_str")
         .withColumn("event_time", F.try_to_timestamp(F.col("timestamp")))
+        .withColumn("avg_speed", known_speed(F.col("avg_speed")))
     )
 
 

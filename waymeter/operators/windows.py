@@ -68,5 +68,7 @@ def latest_windows(rows: DataFrame) -> DataFrame:
     Such are the live table, which stores every change, and a table appended to at least once. Where
     the clock cannot tell, the larger total is the newer one, as a window only grows.
     """
+    # The date follows from the window's start; as a key it lets filters on it reach the partitions.
+    keys = WINDOW_KEY + [name for name in ("window_date",) if name in rows.columns]
     order = [name for name in ("recorded_at", "batch_id", "total_vehicles") if name in rows.columns]
-    return first_per_group(rows, WINDOW_KEY, [F.col(name).desc_nulls_last() for name in order])
+    return first_per_group(rows, keys, [F.col(name).desc_nulls_last() for name in order])

@@ -8,8 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Timestamps are instants; every truncation and text form is defined in UTC unless a zone is given.
-# AQE sizes batch shuffles from a high initial count; stateful streams keep the plain
-# spark.sql.shuffle.partitions, which their checkpoint fixes at the first start.
+# Stateful streams keep the plain spark.sql.shuffle.partitions, which their checkpoint fixes at the first start.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -22,10 +21,14 @@ SETTINGS = {
 }
 
 
+# Of the applications: batch shuffles start from many partitions, which AQE merges to the size of the data.
+JOB_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
+
+
 def build_session(app_name: str, settings: dict[str, str] | None = None) -> SparkSession:
     """A session with the engine's settings; `settings` wins, and so does spark-submit's master."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SETTINGS, **(settings or {})}.items():
+    for key, value in {**SETTINGS, **JOB_SETTINGS, **(settings or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,9 +26,15 @@ def _write_partitions(rows: DataFrame, path: str, *columns: str) -> None:
 
 
 def write_windows(stored: DataFrame, path: str) -> None:
-    """Backfill of the window table: the written dates are replaced as wholes."""
-    dated = with_recorded_at(stored).withColumn("window_date", F.to_date("window_start"))
-    _write_partitions(dated, path, "window_date")
+    """Backfill of the window table, beside what streams wrote there.
+
+    An earlier backfill of a written date is replaced. Streamed rows stay, and `read_windows` takes the newest
+    row of a window, which is the rebuilt one.
+    """
+    dated = with_recorded_at(stored).withColumns({
+        "batch_id": F.lit(None).cast("bigint"), "window_date": F.to_date("window_start"), "batch_key": F.lit("backfill"),
+    })
+    _write_partitions(dated, path, "window_date", "batch_key")
 
 
 def write_daily_report(report: DataFrame, path: str, day: str | None = None) -> None:
@@ -35,6 +43,8 @@ def write_daily_report(report: DataFrame, path: str, day: str | None = None) ->
     A named day is replaced even when it has no rows, so an earlier answer cannot survive it.
     """
     clocked = report.withColumn("created_at", F.current_timestamp())
+    if day is not None and date.fromisoformat(day).isoformat() != day:
+        raise ValueError(f"a day is written as 2025-07-15, not {day!r}")
     if day is None:
         _write_partitions(clocked, path, "report_date")
         return

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from waymeter.operators.windows import latest_windows
 from waymeter.schemas import (
     CONGESTION_INDEX,
     CRITICAL_ALERTS,
@@ -21,7 +22,8 @@ def _with(schema: T.StructType, *fields: tuple[str, T.DataType]) -> T.StructType
 
 
 def read_windows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with(CONGESTION_INDEX, ("window_date", T.DateType()))).parquet(path)
+    """The window table, one row per window: streams and backfills may both have written it."""
+    return latest_windows(read_live_windows(spark, path)).drop("batch_id", "batch_key")
 
 
 def read_live_windows(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +38,8 @@ def read_alerts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_raw(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(_with(TRAFFIC_RAW, ("event_date", T.DateType()))).parquet(path)
+    fields = [("event_date", T.DateType())]
+    return spark.read.schema(_with(TRAFFIC_RAW, *fields)).parquet(path)
 
 
 def read_daily_report(spark: SparkSession, path: str) -> DataFrame:

@@ -15,26 +15,23 @@ from waymeter.sinks.kafka import publish
 
 BatchSink = Callable[[DataFrame, int], None]
 
-# Tasks that write one batch of results to a file table. Raise it with the number of sensors.
-WRITERS = 4
-
-
 def _query_id(batch: DataFrame) -> str:
     """Id of the running query: kept by its checkpoint, new with a new checkpoint."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
 
-def spread_by_date(rows: DataFrame, date_column: str, keys: list[str], writers: int) -> DataFrame:
-    """Hand the rows to `writers` tasks, so that a batch leaves at most that many files per date.
+def spread(rows: DataFrame, keys: list[str], writers: int | None) -> DataFrame:
+    """Hand the rows to `writers` tasks by their keys, each with an even share of every date.
 
-    A streaming write has no AQE to merge small partitions, and one file per state or topic partition
-    and trigger would swamp the file system. A date, however busy, is cut over all the writers.
+    Without a number there are as many as state partitions, capped by nothing else: a stream's writes then
+    grow with its `spark.sql.shuffle.partitions`. A date leaves at most that many files per batch.
     """
-    cut = F.pmod(F.xxhash64(*keys), F.lit(writers))
-    return rows.repartition(writers, F.col(date_column), cut)
+    count = writers or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartitionById(count, F.pmod(F.xxhash64(*keys), F.lit(count)).cast("int"))
 
 
-def table_sink(path: str, time_column: str, date_column: str, writers: int = WRITERS) -> BatchSink:
+def table_sink(path: str, time_column: str, date_column: str, writers: int | None = None,
+               keys: tuple[str, ...] = ("sensor_id", "junction_name")) -> BatchSink:
     """File table in which a replayed batch replaces itself.
 
     Partitions are (date, batch key); the key holds the query id too, as batch numbers start again
@@ -47,9 +44,8 @@ def table_sink(path: str, time_column: str, date_column: str, writers: int = WRI
             .withColumn(date_column, F.to_date(time_column))
             .withColumn("batch_key", F.lit(f"{_query_id(batch)}-{batch_id:012d}"))
         )
-        spread = spread_by_date(keyed, date_column, ["sensor_id", "junction_name", time_column], writers)
         (
-            spread.write.mode("overwrite")
+            spread(keyed, [*keys, time_column], writers).write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(date_column, "batch_key")
             .parquet(path)

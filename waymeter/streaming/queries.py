@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from waymeter.config import StreamConfig
-from waymeter.functions.congestion import stored_decimal
 from waymeter.operators.alerts import (
     alerts_stored,
     critical_alerts,
@@ -19,14 +18,12 @@ from waymeter.operators.alerts import (
 )
 from waymeter.operators.messages import bad_records, decode_messages, good_records, with_watermark
 from waymeter.operators.windows import (
-    WINDOW_KEY,
     congestion_stored,
     congestion_windows,
     with_recorded_at,
 )
-from waymeter.schemas import SPEED
 from waymeter.session import shared_folder
-from waymeter.streaming.batch_sinks import WRITERS, BatchSink, spread_by_date
+from waymeter.streaming.batch_sinks import BatchSink, fan_out, table_sink
 
 
 def checkpoint_path(spark: SparkSession, config: StreamConfig, name: str) -> str:
@@ -55,8 +52,14 @@ def stored_windows(readings: DataFrame, config: StreamConfig) -> DataFrame:
     return with_recorded_at(congestion_stored(windows))
 
 
-def stored_alerts(readings: DataFrame, config: StreamConfig) -> DataFrame:
-    return with_created_at(alerts_stored(with_processing_time(critical_alerts(readings, config.rules))))
+def alert_rows(readings: DataFrame, config: StreamConfig) -> DataFrame:
+    """Alerts of known sensors with the speed as it was read."""
+    return with_processing_time(critical_alerts(readings, config.rules)).filter(F.col("sensor_id").isNotNull())
+
+
+def stored_alert_sink(sink: BatchSink) -> BatchSink:
+    """A table of alerts: their speed takes the table's type here, and nowhere before."""
+    return lambda batch, batch_id: sink(with_created_at(alerts_stored(batch)), batch_id)
 
 
 def _congestion_writer(rows: DataFrame, config: StreamConfig, trigger: dict | None) -> DataStreamWriter:
@@ -65,16 +68,14 @@ def _congestion_writer(rows: DataFrame, config: StreamConfig, trigger: dict | No
 
 
 def start_congestion_table(readings: DataFrame, config: StreamConfig, path: str,
-                           trigger: dict | None = None, writers: int = WRITERS) -> StreamingQuery:
+                           trigger: dict | None = None) -> StreamingQuery:
     """Final windows, one row each once the watermark has passed them, to a file table by date.
 
-    Exactly once through the sink's own log.
+    A replayed batch replaces itself, and a new checkpoint adds under keys of its own: the table has no sink
+    log that would skip them or hide what a backfill writes.
     """
-    rows = _rows_counted(stored_windows(readings, config), "congestion_rows")
-    dated = rows.withColumn("window_date", F.to_date("window_start"))
-    spread = spread_by_date(dated, "window_date", WINDOW_KEY, writers)
-    writer = _congestion_writer(spread, config, trigger)
-    return writer.format("parquet").option("path", path).partitionBy("window_date").start()
+    sink = table_sink(path, "window_start", "window_date", config.writers)
+    return start_congestion_sink(readings, config, sink, trigger)
 
 
 def start_congestion_sink(readings: DataFrame, config: StreamConfig, sink: BatchSink,
@@ -93,10 +94,14 @@ def start_live_congestion(readings: DataFrame, config: StreamConfig, sink: Batch
     return writer.foreachBatch(sink).start()
 
 
-def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink,
-                 trigger: dict | None = None) -> StreamingQuery:
-    """Alerts at once and without state: late readings alert too."""
-    rows = _rows_counted(stored_alerts(readings, config), "alert_rows")
+def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, trigger: dict | None = None,
+                 topic: BatchSink | None = None) -> StreamingQuery:
+    """Alerts at once and without state: late readings alert too.
+
+    `sink` takes the rows of the alert table, `topic` the alerts with the speed as it was read.
+    """
+    rows = _rows_counted(alert_rows(readings, config), "alert_rows")
+    sink = fan_out(stored_alert_sink(sink), *([topic] if topic else []))
     writer = _writer(rows, config, "critical", "append",
                      trigger or {"processingTime": config.critical_trigger})
     return writer.foreachBatch(sink).start()
@@ -108,10 +113,9 @@ def raw_rows(decoded: DataFrame) -> DataFrame:
         "junction_name",
         "event_time",
         "vehicle_count",
-        stored_decimal(F.col("avg_speed"), SPEED.simpleString()).alias("avg_speed"),
+        "avg_speed",
         F.coalesce(F.col("is_critical"), F.lit(False)).alias("is_critical"),
         F.current_timestamp().alias("ingested_at"),
-        F.to_date("event_time").alias("event_date"),
     )
 
 
@@ -120,25 +124,28 @@ def start_archive(decoded: DataFrame, config: StreamConfig, path: str,
     """Usable readings to a file table by date."""
     writer = _writer(raw_rows(decoded), config, "archive", "append",
                      trigger or {"processingTime": config.archive_trigger})
-    return writer.format("parquet").option("path", path).partitionBy("event_date").start()
+    sink = table_sink(path, "event_time", "event_date", config.writers)
+    return writer.foreachBatch(sink).start()
 
 
 def start_quarantine(decoded: DataFrame, config: StreamConfig, path: str,
                      trigger: dict | None = None) -> StreamingQuery:
-    """Unusable messages with their raw text to files."""
+    """Unusable messages with their raw text to files, by the date of their arrival."""
     writer = _writer(bad_records(decoded), config, "quarantine", "append",
                      trigger or {"processingTime": config.archive_trigger})
-    return writer.format("parquet").option("path", path).start()
+    sink = table_sink(path, "kafka_ts", "arrival_date", config.writers, ("json_str",))
+    return writer.foreachBatch(sink).start()
 
 
 def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink: BatchSink,
-              live_sink: BatchSink | None = None, archive: bool = False) -> list[StreamingQuery]:
+              live_sink: BatchSink | None = None, archive: bool = False,
+              topic: BatchSink | None = None) -> list[StreamingQuery]:
     """The concurrent queries of one application over one source definition."""
     decoded = decode_messages(messages)
     readings = decoded.drop("json_str")
     started = [
         start_congestion_table(readings, config, f"{tables}/congestion_index"),
-        start_alerts(readings, config, alert_sink),
+        start_alerts(readings, config, alert_sink, topic=topic),
     ]
     if live_sink is not None:
         started.append(start_live_congestion(readings, config, live_sink))
