@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymeter.llm.components import components
-from waymeter.llm.shared import worker_state, written
+from waymeter.llm.shared import slices, worker_state, written
 from waymeter.llm.words import mixed, portions, word_hashes
 
 SHINGLE = 5
@@ -125,8 +125,8 @@ def digest(shingles: np.ndarray, counts: np.ndarray) -> bytes:
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, class (digest of the multiset; null without words or id), bands."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            worker_state("bagminhash", object)
+        worker_state("bagminhash", object)
+        for batch in slices(batches):
             texts, ids = batch.column(1).to_pylist(), batch.column(0)
             for a, b in portions(texts, 1 << 20):
                 sets = shingle_sets(texts[a:b])
@@ -144,7 +144,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 def elements(docs: DataFrame) -> DataFrame:
     """class, shingles, times (arrays as bytes) of texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column(0).to_pylist()
             for a, b in portions(texts):
                 sets = shingle_sets(texts[a:b])
@@ -168,7 +168,7 @@ def overlap(a: tuple[bytes, bytes], b: tuple[bytes, bytes]) -> tuple[int, int]:
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose multisets overlap enough."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, 1000):
             keep = []
             for k, (sa, ta, sb, tb) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(2, 6)))):
                 least, most = overlap((sa, ta), (sb, tb))

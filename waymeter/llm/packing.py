@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.llm import bpe
+from waymeter.llm.shared import slices
 
 WIDTH = 4096
 END_ID = 2
@@ -44,14 +45,14 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
     schema = (schema.add("ids", "binary") if with_ids else schema).add("ids_crc32", "long").add("doc_tokens", "long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             made: list[list] = [[] for _ in range(6)]
             for row, text in enumerate(batch.column(1).to_pylist()):
                 data = bpe.encode(vocabulary, text) + end
                 start = 0
                 for length in piece_lengths(len(data) // 4, width):
                     ids = data[4 * start:4 * (start + length)]
-                    for column, value in zip(made, (row, start, length, ids, zlib.crc32(ids), len(data) // 4)):
+                    for column, value in zip(made, (row, start, length, ids if with_ids else None, zlib.crc32(ids), len(data) // 4)):
                         column.append(value)
                     start += length
             rows = batch.column(0).take(pa.array(made[0], pa.int32()))

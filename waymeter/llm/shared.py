@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import gc
 import uuid
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +53,13 @@ def worker_state(key, make):
     return _STATE[key]
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.RecordBatch]:
+    """The batches in small pieces, so that no worker holds the texts of a whole batch as Python objects."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def give_back() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from waymeter.llm.shared import worker_state, written
+from waymeter.llm.shared import slices, worker_state, written
 
 #: Labelled rows that lexicon and weights are fitted on, at most; chosen by a hash of the id.
 LABELLED = 16_384
@@ -257,9 +257,9 @@ def _scores(rows: DataFrame, model: Model, carried: str) -> DataFrame:
     weights = np.array(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            out = [x for a in range(0, len(texts), 100) for known in [_known(model)] for x in (features(t, known) for t in texts[a:a + 100])]
+        for batch in slices(batches):
+            known = _known(model)
+            out = [features(t, known) for t in batch.column(1).to_pylist()]
             x = np.array(out).reshape(len(out), FEATURES)
             score = 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ weights, -30, 30))) if len(weights) else np.zeros(len(x))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.list_(pa.float64())), pa.array(score)], [carried, "features", "score"])
