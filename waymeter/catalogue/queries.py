@@ -354,7 +354,7 @@ def replay_quarantine(spark, folder):
     """The unusable ones of the same messages."""
     decoded, config, path = _replay(spark, folder, "quarantine")
     Q.start_quarantine(decoded, config, path, ONCE).awaitTermination()
-    return T.read_quarantine(spark, path).drop("kafka_ts")
+    return T.read_quarantine(spark, path).drop("kafka_ts", "arrival_date", "batch_key")
 
 
 QUERIES: dict[str, Query] = {
