@@ -14,7 +14,7 @@ from waymeter.operators.hourly import hourly_rollup, interventions, peak_hours,
 from waymeter.operators.windows import congestion_stored, latest_windows
 from waymeter.plans.nightly import nightly_peaks, nightly_report
 from waymeter.sinks.files import write_daily_report, write_windows
-from waymeter.sources.seed import seed_alerts, seed_windows
+from seed import seed_alerts, seed_windows
 from waymeter.sources.tables import read_daily_report, read_raw, read_windows
 
 WINDOW = ("sensor_id string, junction_name string, window_start timestamp, mean_speed_kmph double, "

@@ -1,8 +1,12 @@
 """Options of the endpoints that cannot be reached here, and settings."""
 
+import argparse
+
 import pytest
 
-from waymeter.config import JdbcConfig, StreamConfig
+from waymeter.config import JdbcConfig, StreamConfig, TrafficConfig, add_options, given
+from waymeter.jobs import stream
+from waymeter.jobs.backfill import refuse_uneven_windows
 from waymeter.session import SETTINGS, build_session, new_run_folder, shared_folder
 from waymeter.sinks.jdbc import jdbc_write_options
 from waymeter.sinks.kafka import kafka_sink_options
@@ -63,3 +67,26 @@ def test_checkpoints_lie_in_the_shared_folder(spark):
 def test_session_settings(spark):
     assert SETTINGS["spark.sql.session.timeZone"] == "UTC"
     assert build_session("again").conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_rules_and_sizes_are_options_of_the_jobs():
+    parser = argparse.ArgumentParser()
+    add_options(parser, StreamConfig)
+    add_options(parser, TrafficConfig)
+    options = parser.parse_args(["--critical-speed", "12", "--clamp", "--window", "10 minutes", "--min-partitions", "8"])
+    assert given(options, TrafficConfig) == {"critical_speed": 12.0, "clamp": True, "window": "10 minutes"}
+    assert given(options, StreamConfig) == {"min_partitions": 8}
+    assert TrafficConfig(**given(parser.parse_args([]), TrafficConfig)) == TrafficConfig()
+
+
+def test_a_rebuild_refuses_windows_that_cut_a_date(spark):
+    for even in ("5 minutes", "1 hour", "1 day"):
+        refuse_uneven_windows(spark, even)
+    for uneven in ("7 minutes", "2 days"):
+        with pytest.raises(ValueError, match="do not divide"):
+            refuse_uneven_windows(spark, uneven)
+
+
+def test_the_streaming_job_wants_an_archive_or_a_word_against_it():
+    with pytest.raises(SystemExit):
+        stream.main([])

@@ -195,11 +195,10 @@ def test_fan_out_computes_a_batch_once(spark, topic, config):
 def test_archive_and_quarantine_share_out_the_messages(spark, topic, config, tmp_path):
     topic.add(message("08:00:10", 10, 20.0), "not json")
     topic.add('{"sensor_id":"J2","timestamp":"junk"}', "")
-    run(Q.start_archive(decoded(spark, topic), config, f"{tmp_path}/raw", ONCE))
-    run(Q.start_quarantine(decoded(spark, topic), config, f"{tmp_path}/bad", ONCE))
-    raw = read_raw(spark, f"{tmp_path}/raw").collect()
+    run(Q.start_archive(decoded(spark, topic), config, str(tmp_path), ONCE))
+    raw = read_raw(spark, f"{tmp_path}/traffic_raw").collect()
     assert [(row.sensor_id, row.vehicle_count, str(row.avg_speed)) for row in raw] == [("J1", 10, "20.0")]
-    bad = {row.json_str: row.sensor_id for row in read_quarantine(spark, f"{tmp_path}/bad").collect()}
+    bad = {row.json_str: row.sensor_id for row in read_quarantine(spark, f"{tmp_path}/quarantine").collect()}
     assert bad == {"not json": None, '{"sensor_id":"J2","timestamp":"junk"}': "J2", "": None}
 
 
@@ -209,11 +208,11 @@ def test_all_queries_run_side_by_side(spark, topic, config, tmp_path):
     started = Q.start_all(
         replay_messages(spark, str(topic.folder), files_per_batch=1), config, tables,
         table_sink(f"{tables}/critical_alerts", "alert_time", "alert_date"),
-        table_sink(f"{tables}/congestion_live", "window_start", "window_date"), archive=True,
+        table_sink(f"{tables}/congestion_live", "window_start", "window_date"), archive=tables,
     )
     try:
         assert [query.name for query in started] == [
-            "congestion", "critical", "congestion-live", "archive", "quarantine"]
+            "congestion", "critical", "congestion-live", "archive"]
         for query in started:
             query.processAllAvailable()
             assert query.exception() is None

@@ -352,8 +352,8 @@ SELECT section, sensor_id, line_no, line FROM ({NIGHTLY_TEXT})"""),
     "summary_text_report": _with(
         READING, CW, HR_DAY, PK, FLAGGED, VOLUME, VOLUME_PEAK, select=SUMMARY_TEXT),
     "csv_roundtrip": VOLUME_SQL,
-    "text_roundtrip": _with(*NIGHTLY_STEPS, select=f"""
-SELECT line, count(*) AS copies FROM ({NIGHTLY_TEXT}) GROUP BY line"""),
+    "text_roundtrip": _with(READING, CW, HR, PK, select=f"""
+SELECT line, count(*) AS copies FROM ({_lines('pk', PEAK_TEXTS)}) GROUP BY line"""),
     "nightly_tables": _with(
         READING, CW, CS,
         _hr(LOCAL_SHIFT, f"CAST(window_start + {LOCAL_SHIFT} AS DATE) = {REPORT_DAY}", "cs"),
@@ -364,6 +364,7 @@ SELECT * FROM cs
 WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM reading))
                     - INTERVAL 2 MINUTE"""),
     "stream_live": _with(READING, CW, CS, select="SELECT * FROM cs"),
+    "backfill_after_stream": _with(READING, CW, CS, select="SELECT * FROM cs"),
     "stream_alerts": STORED_ALERTS_SQL,
     "replay_decode": _with(READING, DECODED, select=f"""
 SELECT sensor_id, junction_name, event_time, vehicle_count, avg_speed,

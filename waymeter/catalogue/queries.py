@@ -281,9 +281,8 @@ def csv_roundtrip(spark, folder):
 
 
 def text_roundtrip(spark, folder):
-    path = new_run_folder(spark, "nightly-text")
-    report = N.nightly_report(_windows_of_day(spark, folder), REPORT_DAY)
-    write_lines(R.nightly_text_report(report, REPORT_DAY), path)
+    path = new_run_folder(spark, "peak-text")
+    write_lines(R.peak_lines(_peaks(spark, folder)), path)
     return spark.read.text(path).groupBy(F.col("value").alias("line")).agg(
         F.count(F.lit(1)).alias("copies")
     )
@@ -316,6 +315,15 @@ def stream_congestion(spark, folder):
     return T.read_windows(spark, path).drop("recorded_at", "window_date")
 
 
+def backfill_after_stream(spark, folder):
+    """The same table after a rebuild of all dates: windows still open are there, and none is there twice."""
+    config, path = _stream_setup(spark, "rebuilt")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_congestion_table(readings, config, path, ONCE).awaitTermination()
+    write_windows(W.congestion_stored(_windows(spark, folder)), path)
+    return T.read_windows(spark, path).drop("recorded_at", "window_date")
+
+
 def stream_live(spark, folder):
     """Current state of every window, open ones included."""
     config, path = _stream_setup(spark, "live")
@@ -336,25 +344,24 @@ def stream_alerts(spark, folder):
     )
 
 
-def _replay(spark: SparkSession, folder: str, label: str) -> tuple[DataFrame, StreamConfig, str]:
-    config, path = _stream_setup(spark, label)
+def _archived(spark: SparkSession, folder: str) -> str:
+    """Sound and faulty messages replayed from files by one query into its two tables."""
+    config, path = _stream_setup(spark, "archive")
     topic = new_run_folder(spark, "messages")
     _mixed_messages(spark, folder).select(F.col("value").cast("string")).write.text(topic)
-    return M.decode_messages(replay_messages(spark, topic)), config, path
+    decoded = M.decode_messages(replay_messages(spark, topic))
+    Q.start_archive(decoded, config, path, ONCE).awaitTermination()
+    return path
 
 
 def replay_decode(spark, folder):
     """Messages replayed from files into the raw archive."""
-    decoded, config, path = _replay(spark, folder, "archive")
-    Q.start_archive(decoded, config, path, ONCE).awaitTermination()
-    return T.read_raw(spark, path).drop("ingested_at", "batch_key")
+    return T.read_raw(spark, f"{_archived(spark, folder)}/traffic_raw").drop("ingested_at", "batch_key")
 
 
 def replay_quarantine(spark, folder):
     """The unusable ones of the same messages."""
-    decoded, config, path = _replay(spark, folder, "quarantine")
-    Q.start_quarantine(decoded, config, path, ONCE).awaitTermination()
-    return T.read_quarantine(spark, path).drop("kafka_ts", "arrival_date", "batch_key")
+    return T.read_quarantine(spark, f"{_archived(spark, folder)}/quarantine").drop("kafka_ts", "arrival_date", "batch_key")
 
 
 QUERIES: dict[str, Query] = {
@@ -366,7 +373,7 @@ QUERIES: dict[str, Query] = {
         hourly_rollup_local, hourly_rollup_day, rollup_stats, peak_hours, peak_hours_local,
         interventions, daily_peak_report, volume_table, peak_volume, chart_series, peak_lines,
         intervention_lines, intervention_summary, nightly_text_report, summary_text_report,
-        csv_roundtrip, text_roundtrip, nightly_tables, stream_congestion, stream_live,
+        csv_roundtrip, text_roundtrip, nightly_tables, stream_congestion, backfill_after_stream, stream_live,
         stream_alerts, replay_decode, replay_quarantine,
     )
 }

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import argparse
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 
 @dataclass(frozen=True)
@@ -33,6 +34,24 @@ class TrafficConfig:
 DEFAULTS = TrafficConfig()
 
 
+def add_options(parser: argparse.ArgumentParser, kind: type, names: tuple[str, ...] | None = None) -> None:
+    """An option per field of a configuration, or per named one; what is not given keeps its default."""
+    for one in fields(kind):
+        if one.name == "rules" or names is not None and one.name not in names:
+            continue
+        flag = "--" + one.name.replace("_", "-")
+        if one.type == "bool":
+            parser.add_argument(flag, action=argparse.BooleanOptionalAction, default=argparse.SUPPRESS)
+        else:
+            number = {"int": int, "int | None": int, "float": float}.get(one.type, str)
+            parser.add_argument(flag, type=number, default=argparse.SUPPRESS, help=f"default: {one.default}")
+
+
+def given(options: argparse.Namespace, kind: type) -> dict[str, object]:
+    """Those fields of a configuration that the options name."""
+    return {one.name: getattr(options, one.name) for one in fields(kind) if hasattr(options, one.name)}
+
+
 @dataclass(frozen=True)
 class StreamConfig:
     """Endpoints, triggers and sizes of a running stream."""

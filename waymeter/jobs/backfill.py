@@ -8,24 +8,34 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from waymeter.config import DEFAULTS, TrafficConfig, add_options, given
 from waymeter.operators.windows import congestion_stored, congestion_windows
 from waymeter.session import build_session
 from waymeter.sinks.files import write_windows
 from waymeter.sources.tables import read_raw
 
 
-def backfill_windows(raw: DataFrame, tables: str, days: list[str] | None = None) -> None:
+def refuse_uneven_windows(spark: SparkSession, window: str) -> None:
+    length = spark.range(1).select(F.unix_micros(F.expr(f"timestamp_seconds(0) + INTERVAL '{window}'"))).first()[0]
+    if length <= 0 or 86_400_000_000 % length:
+        raise ValueError(f"windows of {window} do not divide a date")
+
+
+def backfill_windows(raw: DataFrame, tables: str, days: list[str] | None = None,
+                     rules: TrafficConfig = DEFAULTS) -> None:
     """Rebuild the windows of whole UTC dates, from `days[0]` to `days[1]` inclusive, or of all.
 
-    Dates are those of the archive's partitions. As windows divide a date evenly, no window is cut.
+    Dates are those of the archive's partitions. A window that does not divide a date
+    evenly would be cut at its edges and is refused.
     """
+    refuse_uneven_windows(raw.sparkSession, rules.window)
     if days is not None:
         first, last = (F.lit(day).cast("date") for day in days)
         raw = raw.filter(F.col("event_date").between(first, last))
-    write_windows(congestion_stored(congestion_windows(raw)), f"{tables}/congestion_index")
+    write_windows(congestion_stored(congestion_windows(raw, rules)), f"{tables}/congestion_index")
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -33,9 +43,11 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--raw", required=True, help="folder of the raw archive")
     parser.add_argument("--tables", required=True, help="folder of the file tables")
     parser.add_argument("--days", nargs=2, metavar=("FIRST", "LAST"), help="UTC dates to rebuild")
+    add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
     spark = build_session("traffic-backfill")
-    backfill_windows(read_raw(spark, options.raw), options.tables, options.days)
+    backfill_windows(read_raw(spark, options.raw), options.tables, options.days,
+                     TrafficConfig(**given(options, TrafficConfig)))
 
 
 if __name__ == "__main__":

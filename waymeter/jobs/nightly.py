@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.config import DEFAULTS, JdbcConfig, TrafficConfig
+from waymeter.config import DEFAULTS, JdbcConfig, TrafficConfig, add_options, given
 from waymeter.functions.times import UTC, day_bounds
 from waymeter.operators.hourly import hourly_rollup, windows_of_day
 from waymeter.operators.windows import latest_windows
@@ -50,7 +50,8 @@ def write_nightly(spark: SparkSession, windows: DataFrame, day: str, tz: str, ta
 def write_volume_reports(windows: DataFrame, alerts: DataFrame, stored: DataFrame, day: str, tz: str,
                          reports: str, rules: TrafficConfig = DEFAULTS) -> None:
     """Hourly volume as CSV, chart series as JSON lines, and the text summary."""
-    volume = volume_table(hourly_rollup(windows_of_day(windows, day, tz), tz), rules)
+    # One day of hours, a row per sensor and hour: computed once for all three.
+    volume = volume_table(hourly_rollup(windows_of_day(windows, day, tz), tz), rules).persist()
     ordered = order_volume(volume).select(*HOURLY_VOLUME.fieldNames())
     write_csv(ordered, f"{reports}/traffic_volume_report_{day}")
     chart_series(volume).write.mode("overwrite").json(f"{reports}/traffic_report_chart_{day}")
@@ -62,6 +63,7 @@ def write_volume_reports(windows: DataFrame, alerts: DataFrame, stored: DataFram
         peak_volume(volume), of_day, stored.filter("needs_police"), day, tz, rules=rules
     )
     write_lines(lines, f"{reports}/congestion_summary_{day}")
+    volume.unpersist()
 
 
 def main(arguments: list[str] | None = None) -> None:
@@ -71,7 +73,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--tables", required=True, help="folder of the file tables")
     parser.add_argument("--reports", required=True, help="folder of the reports")
     parser.add_argument("--jdbc", action="store_true", help="read windows and alerts over JDBC")
+    add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
+    rules = TrafficConfig(**given(options, TrafficConfig))
 
     spark = build_session("traffic-nightly")
     if options.jdbc:
@@ -90,9 +94,9 @@ def main(arguments: list[str] | None = None) -> None:
         windows = read_windows(spark, f"{options.tables}/congestion_index")
         alerts = read_alerts(spark, f"{options.tables}/critical_alerts")
     stored = write_nightly(
-        spark, windows, options.day, options.tz, options.tables, options.reports
+        spark, windows, options.day, options.tz, options.tables, options.reports, rules
     )
-    write_volume_reports(windows, alerts, stored, options.day, options.tz, options.reports)
+    write_volume_reports(windows, alerts, stored, options.day, options.tz, options.reports, rules)
 
 
 if __name__ == "__main__":

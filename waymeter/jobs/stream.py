@@ -8,28 +8,30 @@ from __future__ import annotations
 
 import argparse
 
-from waymeter.config import JdbcConfig, StreamConfig
-from waymeter.operators.messages import decode_readings
+from waymeter.config import JdbcConfig, StreamConfig, TrafficConfig, add_options, given
+from waymeter.operators.messages import decode_messages
 from waymeter.session import build_session
 from waymeter.sources.kafka import stream_messages
 from waymeter.streaming.batch_sinks import alert_topic_sink, jdbc_sink, table_sink
-from waymeter.streaming.queries import start_alerts, start_all, start_congestion_sink
+from waymeter.streaming.queries import start_alerts, start_all, start_archive, start_congestion_sink
 
 
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--tables", help="folder of the file tables; without it, JDBC tables are used")
     parser.add_argument("--live", action="store_true", help="store every change of open windows too")
-    parser.add_argument("--archive", action="store_true", help="keep raw readings and bad messages")
-    parser.add_argument("--writers", type=int, help="tasks that write one batch to a file table")
-    parser.add_argument("--starting-offsets", default="latest", help="where a new checkpoint starts in the topic")
-    parser.add_argument("--max-offsets", type=int, help="messages of one batch at most")
+    parser.add_argument("--archive", help="folder of raw readings and bad messages; by default that of the tables")
+    parser.add_argument("--no-archive", action="store_true", help="keep neither")
+    add_options(parser, StreamConfig)
+    add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
-    if not options.tables and (options.live or options.archive):
-        parser.error("--live and --archive need --tables")
+    if options.live and not options.tables:
+        parser.error("--live needs --tables")
+    archive = None if options.no_archive else options.archive or options.tables
+    if archive is None and not options.no_archive:
+        parser.error("without --tables name an --archive folder, or give --no-archive")
 
-    config = StreamConfig.from_env(
-        writers=options.writers, starting_offsets=options.starting_offsets, max_offsets_per_trigger=options.max_offsets)
+    config = StreamConfig.from_env(rules=TrafficConfig(**given(options, TrafficConfig)), **given(options, StreamConfig))
     spark = build_session("traffic-stream")
     messages = stream_messages(spark, config)
     topic = alert_topic_sink(config)
@@ -38,12 +40,15 @@ def main(arguments: list[str] | None = None) -> None:
         live = None
         if options.live:
             live = table_sink(f"{options.tables}/congestion_live", "window_start", "window_date", config.writers)
-        start_all(messages, config, options.tables, alerts, live, options.archive, topic)
+        start_all(messages, config, options.tables, alerts, live, archive, topic)
     else:
         database = JdbcConfig.from_env()
-        readings = decode_readings(messages)
+        decoded = decode_messages(messages)
+        readings = decoded.drop("json_str")
         start_congestion_sink(readings, config, jdbc_sink(database, "congestion_index"))
         start_alerts(readings, config, jdbc_sink(database, "critical_alerts"), topic=topic)
+        if archive:
+            start_archive(decoded, config, archive)
     spark.streams.awaitAnyTermination()
 
 

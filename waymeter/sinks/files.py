@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from waymeter.operators.windows import with_recorded_at
 
 
+#: Key of the folder, one per date, that a backfill of the window table owns.
+BACKFILL = "backfill"
+
+
 def _write_partitions(rows: DataFrame, path: str, *columns: str) -> None:
     """Replace exactly the partitions that `rows` touches.
 
@@ -32,7 +36,7 @@ def write_windows(stored: DataFrame, path: str) -> None:
     row of a window, which is the rebuilt one.
     """
     dated = with_recorded_at(stored).withColumns({
-        "batch_id": F.lit(None).cast("bigint"), "window_date": F.to_date("window_start"), "batch_key": F.lit("backfill"),
+        "batch_id": F.lit(None).cast("bigint"), "window_date": F.to_date("window_start"), "batch_key": F.lit(BACKFILL),
     })
     _write_partitions(dated, path, "window_date", "batch_key")
 

@@ -119,26 +119,19 @@ def raw_rows(decoded: DataFrame) -> DataFrame:
     )
 
 
-def start_archive(decoded: DataFrame, config: StreamConfig, path: str,
+def start_archive(decoded: DataFrame, config: StreamConfig, folder: str,
                   trigger: dict | None = None) -> StreamingQuery:
-    """Usable readings to a file table by date."""
-    writer = _writer(raw_rows(decoded), config, "archive", "append",
-                     trigger or {"processingTime": config.archive_trigger})
-    sink = table_sink(path, "event_time", "event_date", config.writers)
-    return writer.foreachBatch(sink).start()
-
-
-def start_quarantine(decoded: DataFrame, config: StreamConfig, path: str,
-                     trigger: dict | None = None) -> StreamingQuery:
-    """Unusable messages with their raw text to files, by the date of their arrival."""
-    writer = _writer(bad_records(decoded), config, "quarantine", "append",
-                     trigger or {"processingTime": config.archive_trigger})
-    sink = table_sink(path, "kafka_ts", "arrival_date", config.writers, ("json_str",))
+    """One query, one decode: usable readings to `folder`/traffic_raw by the date of the reading, unusable messages
+    with their raw text to `folder`/quarantine by the date of their arrival."""
+    raw = table_sink(f"{folder}/traffic_raw", "event_time", "event_date", config.writers)
+    bad = table_sink(f"{folder}/quarantine", "kafka_ts", "arrival_date", config.writers, ("json_str",))
+    sink = fan_out(lambda batch, batch_id: raw(raw_rows(batch), batch_id), lambda batch, batch_id: bad(bad_records(batch), batch_id))
+    writer = _writer(decoded, config, "archive", "append", trigger or {"processingTime": config.archive_trigger})
     return writer.foreachBatch(sink).start()
 
 
 def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink: BatchSink,
-              live_sink: BatchSink | None = None, archive: bool = False,
+              live_sink: BatchSink | None = None, archive: str | None = None,
               topic: BatchSink | None = None) -> list[StreamingQuery]:
     """The concurrent queries of one application over one source definition."""
     decoded = decode_messages(messages)
@@ -150,6 +143,5 @@ def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink
     if live_sink is not None:
         started.append(start_live_congestion(readings, config, live_sink))
     if archive:
-        started.append(start_archive(decoded, config, f"{tables}/traffic_raw"))
-        started.append(start_quarantine(decoded, config, f"{tables}/quarantine"))
+        started.append(start_archive(decoded, config, archive))
     return started
