@@ -146,6 +146,21 @@ def test_vectors_that_cannot_be_compared(spark):
     assert {(0, 2, 0, True), (1, 2, 0, False), (8, 2, 0, False), (2, 0, 2, True), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True), (6, 0, 6, True), (None, 0, None, True)} <= found
 
 
+def test_a_large_group_of_near_vectors_keeps_its_links(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "MEET", 256)
+    draw = np.random.default_rng(11)
+    v = draw.standard_normal((4000, 64))
+    v[:1300] = v[0] + draw.standard_normal((1300, 64)) * 0.25 * np.linalg.norm(v[0]) / 8
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    links = (v @ v.T >= 0.9).sum(1) - 1
+    assert 1_000_000 < links.sum() < 1300 * 1299
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r for r in vectors.near_duplicates(rows, vectors.Forest(leaf=32)).collect()}
+    assert len(found) == 4000 and all(found[k].n_links <= links[k] for k in found)
+    assert sum(r.n_links for r in found.values()) >= 0.999 * links.sum()
+    assert all(found[k].component_id == 0 for k in range(1300) if links[k])
+
+
 def test_archives_of_odd_pages(spark):
     html = "<p>é</p>" * 200
     rows = [(1, "http://a.example/x", html), (2, None, html), (2, None, html), (3, "https://www.B.example?q", None), (None, "http://a.example/x", html), (4, "bad [url\r\n", "short"), (5, "http://a.example/w", "short")]

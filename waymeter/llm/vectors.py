@@ -1,8 +1,10 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
 Every tree splits the unit vectors at the median of their projections on a random direction, again and again;
-vectors near a cut go to both sides. Vectors are compared within leaves of all trees, and links that the exact
-cosine confirms are united. Trees are fitted on a bounded sample; all vectors are indexed and compared.
+vectors near a cut go to both sides. A node that is narrow for the distance of linked vectors is not split: a large
+group of near vectors stays one leaf, compared in pairs of blocks. Vectors are compared within leaves of all
+trees, and links that the exact cosine confirms are united. Trees are fitted on a bounded sample; all vectors are
+indexed and compared.
 """
 
 from __future__ import annotations
@@ -17,16 +19,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from waymeter.llm.components import components
-from waymeter.llm.shared import written
+from waymeter.llm.shared import slices, written
+from waymeter.llm.words import mixed
 
 BLOCK = 1024
+#: Rows of a leaf that meet in one task, with themselves or with as many others, and rows of a batch sent there.
+MEET, ROWS = 8192, 20_000
+#: Vectors at the least cosine lie on any random direction at a mean square distance of their distance over the root
+#: of the dimensions. Those within half of REACH times that of a cut go to both sides, however narrow a node is.
+REACH = 1.25
+#: A cut is taken at once if its larger child has GOOD of the node or less, the best of TRIES up to WORST.
+TRIES, GOOD, WORST = 16, 0.65, 0.72
 
 
 @dataclass(frozen=True)
 class Forest:
     """`sample` bounds the vectors that the trees are fitted on and the driver holds; `leaf` is the number of
     vectors aimed at in a leaf, of the whole table; `spill` is the share of a node's vectors on each side of
-    the cut that go to both sides. Where the sample is too small for such leaves, leaves grow in proportion
+    the cut that go to both sides, at least (see REACH). Where the sample is too small for such leaves, leaves grow in proportion
     to the table, and so does the time of a comparison: raise the sample then."""
 
     trees: int = 8
@@ -82,9 +92,30 @@ class Tree:
         return np.concatenate(done_rows), np.concatenate(done_leaves)
 
 
-def fitted(sample: np.ndarray, forest: Forest, total: int) -> list[Tree]:
-    """The forest's trees: nodes are split until their share of the sample stands for `leaf` rows of `total`."""
+def _cut(sample: np.ndarray, rows: np.ndarray, draw: np.random.Generator, forest: Forest, reach: float) -> tuple | None:
+    """A direction with the low and high cut of a node, or None where every one tried leaves a child too large."""
+    best = None
+    for _ in range(TRIES):
+        direction = draw.standard_normal(sample.shape[1])
+        direction /= np.linalg.norm(direction)
+        at = np.sort(sample[rows] @ direction)
+        for share in (0.5, 0.4, 0.6):
+            low, middle, high = np.quantile(at, [share - forest.spill, share, share + forest.spill])
+            low, high = min(low, middle - reach), max(high, middle + reach)
+            largest = max(np.searchsorted(at, high, side="right"), len(at) - np.searchsorted(at, low))
+            if best is None or largest < best[0]:
+                best = largest, direction, low, high
+            if best[0] <= GOOD * len(rows):
+                return best[1:]
+    return best[1:] if best[0] <= WORST * len(rows) else None
+
+
+def fitted(sample: np.ndarray, forest: Forest, total: int, least: float = 0.9) -> list[Tree]:
+    """The forest's trees: nodes are split until their share of the sample stands for `leaf` rows of `total`, or
+    until they are so narrow that the vectors near a cut are most of them. Where one tree is a single leaf,
+    all pairs are compared in it, and it is the only tree."""
     smallest = max(8, int(forest.leaf * len(sample) / max(1, total)))
+    reach = np.sqrt(2 - 2 * least) * min(1.0, REACH / np.sqrt(sample.shape[1])) / 2
     trees = []
     for number in range(forest.trees):
         draw = np.random.default_rng([forest.seed, number])
@@ -93,47 +124,54 @@ def fitted(sample: np.ndarray, forest: Forest, total: int) -> list[Tree]:
         while todo:
             rows, parent = todo.pop()
             child = None
-            if len(rows) > smallest:
-                direction = draw.standard_normal(sample.shape[1])
+            if len(rows) > smallest and (cut := _cut(sample, rows, draw, forest, reach)):
+                direction, low, high = cut
                 at = sample[rows] @ direction
-                low, high = np.quantile(at, [0.5 - forest.spill, 0.5 + forest.spill])
-                left, right = rows[at <= high], rows[at >= low]
-                if max(len(left), len(right)) < len(rows):
-                    child = len(cuts)
-                    directions.append(direction)
-                    cuts.append((low, high))
-                    children.append([0, 0])
-                    todo += [(left, (child, 0)), (right, (child, 1))]
-            if child is None:  # small enough, or all its rows lie on one spot
+                child = len(cuts)
+                directions.append(direction)
+                cuts.append((low, high))
+                children.append([0, 0])
+                todo += [(rows[at <= high], (child, 0)), (rows[at >= low], (child, 1))]
+            if child is None:
                 child, leaf = -1 - leaf, leaf + 1
             if parent:
                 children[parent[0]][parent[1]] = child
-        trees.append(Tree(np.array(directions), np.array(cuts).reshape(-1, 2), np.array(children, np.int64).reshape(-1, 2)))
+        tree = Tree(np.array(directions), np.array(cuts).reshape(-1, 2), np.array(children, np.int64).reshape(-1, 2))
+        if not cuts:
+            return [tree]
+        trees.append(tree)
     return trees
 
 
-def _seen_before(linked: np.ndarray, codes: list[np.ndarray], leaf: int) -> np.ndarray:
-    """[i, j]: whether two rows share a leaf with a smaller number than this one, where they were counted."""
-    shared = np.zeros((len(linked), len(linked)), bool)
-    earlier = [c[c < leaf] for c in (codes[k] for k in linked)]
-    known, place = np.unique(np.concatenate(earlier), return_inverse=True)
-    row = np.repeat(np.arange(len(linked)), [len(c) for c in earlier])
+def _seen_before(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """[i, j]: whether two rows have an earlier leaf in common, where they were counted."""
+    shared = np.zeros((len(left), len(right)), bool)
+    sides = [(np.concatenate(codes), np.repeat(np.arange(len(codes)), [len(c) for c in codes])) for codes in (left, right)]
+    known = np.intersect1d(sides[0][0], sides[1][0])
     for at in range(0, len(known), 2048):
-        inside = (place >= at) & (place < at + 2048)
-        member = np.zeros((len(linked), 2048), np.float32)
-        member[row[inside], place[inside] - at] = 1
-        shared |= (member @ member.T) > 0
+        some = known[at:at + 2048]
+        members = []
+        for (leaves, row), codes in zip(sides, (left, right)):
+            place = np.minimum(np.searchsorted(some, leaves), len(some) - 1)
+            hit = some[place] == leaves
+            member = np.zeros((len(codes), len(some)), np.float32)
+            member[row[hit], place[hit]] = 1
+            members.append(member)
+        shared |= (members[0] @ members[1].T) > 0
     return shared
 
 
-def links_in_leaf(ids: np.ndarray, vectors: np.ndarray, codes: list[np.ndarray], leaf: int, least: float, sizes: np.ndarray) -> pd.DataFrame:
-    """Per row with a link in this leaf: its links (a row of size s counts s) not counted in an earlier leaf, and the least row of its
-    component within the leaf. As many rows come out as the leaf has, whatever the number of links.
+def links_in_leaf(ids: np.ndarray, vectors: np.ndarray, codes: list[np.ndarray], leaf: int, least: float, sizes: np.ndarray, second: np.ndarray | None = None) -> pd.DataFrame:
+    """Per row with a link in this leaf that no earlier leaf has: the number of such links (a row of size s counts
+    s), and the least row of its component of them. As many rows come out as the leaf has, whatever the number of
+    links. `codes` are the rows' leaves in ascending order. Where `second` is given, the rows that it
+    marks are another block of the leaf, and only links between the two blocks count.
 
     Rows are compared in blocks, the similarity is summed in double precision.
     """
     n = len(ids)
-    near = np.zeros(n, bool)
+    earlier = [c[:np.searchsorted(c, leaf)] for c in codes]
+    counts = np.zeros(n, np.int64)
     top = np.arange(n)
 
     def root(k: int) -> int:
@@ -142,38 +180,38 @@ def links_in_leaf(ids: np.ndarray, vectors: np.ndarray, codes: list[np.ndarray],
             k = top[k]
         return k
 
-    for a in range(0, n, BLOCK):
-        for b in range(0, a + 1, BLOCK):
-            close = vectors[a:a + BLOCK] @ vectors[b:b + BLOCK].T >= least
-            if a == b:
-                np.fill_diagonal(close, False)
-            near[a:a + BLOCK] |= close.any(1)
-            near[b:b + BLOCK] |= close.any(0)
-    linked = np.flatnonzero(near)
-    if not len(linked):
-        return pd.DataFrame({"vec": ids[:0], "n": np.empty(0, np.int64), "least": ids[:0]})
-    counts = np.zeros(len(linked), np.int64)
-    for a in range(0, len(linked), BLOCK):
-        for b in range(0, len(linked), BLOCK):
-            left, right = linked[a:a + BLOCK], linked[b:b + BLOCK]
-            close = vectors[left] @ vectors[right].T >= least
-            if not close.any():
-                continue
-            if a == b:
-                np.fill_diagonal(close, False)
-            for k in np.flatnonzero(close.any(1)):
-                ends = right[close[k]]
-                whole = root(left[k])
-                for end in np.unique(top[ends]):
-                    other = root(end)
-                    if other != whole:
-                        whole, other = min(whole, other), max(whole, other)
-                        top[other] = whole
-            both = np.r_[left, right]
-            seen = _seen_before(both, codes, leaf)[: len(left), len(left):]
-            counts[a:a + BLOCK] += (close & ~seen) @ sizes[right]
-    roots = np.array([root(k) for k in linked])
-    return pd.DataFrame({"vec": ids[linked], "n": counts, "least": ids[roots]})
+    def cut(rows: np.ndarray) -> list[np.ndarray]:
+        return [rows[at:at + BLOCK] for at in range(0, len(rows), BLOCK)]
+
+    if second is not None:
+        meets = [(a, b) for a in cut(np.flatnonzero(second)) for b in cut(np.flatnonzero(~second))]
+    else:
+        blocks = cut(np.arange(n))
+        meets = [(blocks[i], blocks[j]) for i in range(len(blocks)) for j in range(i + 1)]
+    for a, b in meets:
+        close = vectors[a] @ vectors[b].T >= least
+        if a is b:
+            np.fill_diagonal(close, False)
+        rows, others = np.flatnonzero(close.any(1)), np.flatnonzero(close.any(0))
+        if not len(rows):
+            continue
+        left, right = a[rows], b[others]
+        close = close[np.ix_(rows, others)] & ~_seen_before([earlier[k] for k in left], [earlier[k] for k in right])
+        counts[left] += close @ sizes[right]
+        if a is not b:
+            counts[right] += sizes[left] @ close
+        while (top[top] != top).any():
+            top[:] = top[top]
+        for k in np.flatnonzero((close & (top[left][:, None] != top[right])).any(1)):
+            whole = root(left[k])
+            for end in np.unique(top[right[close[k]]]):
+                other = root(end)
+                if other != whole:
+                    whole, other = min(whole, other), max(whole, other)
+                    top[other] = whole
+    linked = np.flatnonzero(counts)
+    roots = np.array([root(k) for k in linked], np.int64)
+    return pd.DataFrame({"vec": ids[linked], "n": counts[linked], "least": ids[roots]})
 
 
 def near_duplicates(rows: DataFrame, forest: Forest = Forest(), least: float = 0.9) -> DataFrame:
@@ -226,11 +264,14 @@ def near_duplicates(rows: DataFrame, forest: Forest = Forest(), least: float = 0
 
 
 def _links(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
-    """(vec, n, least): the links of each class found in each leaf; n counts rows, not classes."""
+    """(vec, n, least): the links of each class found in each leaf; n counts rows, not classes.
+
+    A leaf of more than MEET rows is cut into blocks; each pair of them is one task.
+    """
     total = classes.count()
     sample = classes.orderBy(F.xxhash64("class")).limit(forest.sample).select("vector").collect()
     vectors = np.array([np.frombuffer(r[0], np.float64) for r in sample])
-    trees = fitted(vectors, forest, total)
+    trees = fitted(vectors, forest, total, least)
     offsets = np.cumsum([0, *(max(1, int((t.children < 0).sum())) for t in trees)])
     shared = classes.sparkSession.sparkContext.broadcast(trees)  # its size is bounded by the sample
 
@@ -245,20 +286,45 @@ def _links(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
             row, leaf = row[order], leaf[order]
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf.astype(np.int32)))
-            take = pa.array(row)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(leaf), *(c.take(take) for c in batch.columns), codes.take(take)], ["leaf", "vec", "size", "vector", "codes"]
-            )
-
-    placed = classes.select("vec", "size", "vector").mapInArrow(assign, "leaf long, vec long, size long, vector binary, codes array<int>")
+            yield pa.RecordBatch.from_arrays([*batch.columns, codes], ["vec", "size", "vector", "codes"])
+
+    coded = written(classes.select("vec", "size", "vector").mapInArrow(
+        assign, "vec long, size long, vector binary, codes array<int>"), "vector-leaves")
+    cuts = np.ones(offsets[-1], np.int64)
+    large = coded.select(F.explode("codes").alias("leaf")).groupBy("leaf").count().where(F.col("count") > MEET)
+    for r in large.collect():  # no more rows than the trees have leaves
+        cuts[r.leaf] = -(-r["count"] // MEET)
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            codes = batch.column(3)
+            row, leaf = np.repeat(np.arange(batch.num_rows), codes.value_lengths().to_numpy()), codes.flatten().to_numpy()
+            own = (mixed(batch.column(0).to_numpy().astype(np.uint64))[row] % cuts[leaf].astype(np.uint64)).astype(np.int64)
+            times = cuts[leaf]
+            other = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, leaf, own = (np.repeat(x, times) for x in (row, leaf, own))
+            for at in range(0, len(row), ROWS):
+                some = np.s_[at:at + ROWS]
+                take = pa.array(row[some])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(leaf[some].astype(np.int64)), pa.array(np.minimum(own, other)[some]), pa.array(np.maximum(own, other)[some]),
+                     pa.array((own > other)[some]), *(c.take(take) for c in batch.columns)],
+                    ["leaf", "low", "high", "second", "vec", "size", "vector", "codes"],
+                )
+
+    placed = coded.mapInArrow(
+        meet, "leaf long, low long, high long, second boolean, vec long, size long, vector binary, codes array<int>")
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
         group = group.sort_by("vec")
         data = np.array([np.frombuffer(v, np.float64) for v in group["vector"].to_pylist()])
+        codes = group["codes"].combine_chunks()
+        ends = np.cumsum(codes.value_lengths().to_numpy())[:-1]
+        two = key[1].as_py() != key[2].as_py()
         found = links_in_leaf(
-            group["vec"].to_numpy(), data, [np.asarray(c) for c in group["codes"].to_pylist()],
-            key[0].as_py(), least, group["size"].to_numpy(),
+            group["vec"].to_numpy(), data, np.split(codes.flatten().to_numpy(), ends),
+            key[0].as_py(), least, group["size"].to_numpy(), group["second"].to_numpy() if two else None,
         )
         return pa.Table.from_pandas(found, preserve_index=False)
 
-    return placed.groupBy("leaf").applyInArrow(compare, "vec long, n long, least long")
+    return placed.groupBy("leaf", "low", "high").applyInArrow(compare, "vec long, n long, least long")
