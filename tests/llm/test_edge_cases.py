@@ -188,6 +188,15 @@ def test_misspelled_terms_are_found_and_quoted_ones_told_apart():
     assert toxicity.features(None, known) == [0.0] * toxicity.FEATURES
 
 
+def test_abuse_after_a_german_quotation_is_open():
+    known = toxicity._Known(toxicity.Lexicon({"scum$": 6.0}))
+    after = toxicity.features("Er sagte „hallo“ und du scum", known)
+    assert after[0] == 6.0 and after[4] == 0
+    inside = toxicity.features("Er sagte „du scum“ und ging", known)
+    assert inside[0] == 0 < inside[4]
+    assert toxicity._quoted("a “b” c „d“ e „f” g «h» i") == [False, True] * 4 + [False]
+
+
 def test_letters_decide_the_language(spark):
     rows = [(k, ("the and of with thing " if k % 2 else "der und die nicht zeit ") * 9, "en" if k % 2 else "de", None, None) for k in range(40)]
     rows += [(100, "1234 ,,,", "en", None, None), (101, None, "de", None, None), (102, "with the thing", None, None, None), (103, "nicht die zeit", None, None, None)]

@@ -125,18 +125,20 @@ class _Known(dict):
 
 
 def _quoted(text: str) -> list[bool]:
-    """Of every word, in order, whether it stands between quotation marks of its line."""
-    out, depth, straight = [], 0, False
+    """Of every word, in order, whether it stands between quotation marks of its line. “ closes what „ opened."""
+    out, opened, straight = [], [], False
     for found in SPAN.finditer(text):
         kind = found.lastgroup
         if kind == "word":
-            out.append(straight or depth > 0)
+            out.append(straight or bool(opened))
         elif kind == "both":
             straight = not straight
         elif kind == "line":
-            depth, straight = 0, False
-        else:
-            depth = max(0, depth + (1 if kind == "open" else -1))
+            opened, straight = [], False
+        elif kind == "open" and not (found.group() == "“" and opened and opened[-1] == "„"):
+            opened.append(found.group())
+        elif opened:
+            opened.pop()
     return out
 
 
