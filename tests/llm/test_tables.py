@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
+from waymeter.llm import vectors
 from waymeter.llm.queries import ORACLE, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
@@ -72,6 +73,22 @@ def test_vector_links_equal_brute_force(spark):
     assert sum(found.values()) >= 0.9 * sum(links.values()) and all(found[k] <= links[k] for k in links)
 
 
+def test_split_trees_find_what_brute_force_finds(spark):
+    v = np.array(pq.read_table("/root/testdata/sf0.1/embeddings.parquet")["embedding"].to_pylist(), float)
+    draw = np.random.default_rng(2)
+    near = [v[k] + draw.standard_normal((n, 64)) * 0.25 * np.linalg.norm(v[k]) / 8 for k, n in [(0, 600), *((k, 1) for k in range(1, 301))]]
+    v = np.concatenate([v, *near])
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    links = (v @ v.T >= 0.9).sum(1) - 1
+    forest = vectors.Forest(leaf=24)
+    assert all(len(t.cuts) > 20 for t in vectors.fitted(v, forest, len(v)))
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(v.tolist())], "vec_id long, embedding array<double>")
+    found = {r.vec_id: r.n_links for r in vectors.near_duplicates(rows, forest).collect()}
+    assert found.keys() == set(range(len(v))) and all(found[k] <= links[k] for k in found)
+    for part in (range(1, 2000), range(2000, 2600)):
+        assert sum(found[k] for k in part) >= 0.9 * sum(links[k] for k in part) > 0
+
+
 def test_languages_are_told_apart_on_held_out_texts(spark):
     lang = dict(zip(*(pq.read_table(f"{FOLDER}/documents.parquet")[c].to_pylist() for c in ("doc_id", "lang"))))
     rows = [r for r in QUERIES["op9_language_id"](spark, FOLDER).collect() if r.held_out]
