@@ -6,11 +6,13 @@ from collections import Counter
 
 import compare
 import numpy as np
+import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
-from waymeter.llm import vectors
-from waymeter.llm.queries import ORACLE, QUERIES
+from waymeter.llm import packing, vectors
+from waymeter.llm.queries import ORACLE, QUERIES, WORD_BPE
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -89,6 +91,15 @@ def test_split_trees_find_what_brute_force_finds(spark):
         assert sum(found[k] for k in part) >= 0.9 * sum(links[k] for k in part) > 0
 
 
+def test_a_file_holds_pieces_of_one_length(spark):
+    found = QUERIES["op1_packing"](spark, FOLDER)
+    files = found.groupBy(F.input_file_name().alias("file")).agg(F.count_distinct("length").alias("n"), F.min("bucket").alias("bucket")).collect()
+    assert len(files) > 1 and all(r.n == 1 and f"/bucket={r.bucket}/" in r.file for r in files)
+    flat = packing.pieces(spark.read.parquet(f"{FOLDER}/documents.parquet"), public_tokenizers.path(WORD_BPE), with_ids=False)
+    assert found.dtypes == flat.dtypes
+    assert sorted(map(str, found.collect())) == sorted(map(str, flat.collect()))
+
+
 def test_languages_are_told_apart_on_held_out_texts(spark):
     lang = dict(zip(*(pq.read_table(f"{FOLDER}/documents.parquet")[c].to_pylist() for c in ("doc_id", "lang"))))
     rows = [r for r in QUERIES["op9_language_id"](spark, FOLDER).collect() if r.held_out]

@@ -68,6 +68,12 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
     )
 
 
+def bucketed(packed: DataFrame, folder: str) -> DataFrame:
+    """The pieces written by `write_buckets`, read back; no file holds pieces of two lengths."""
+    write_buckets(packed, folder)
+    return packed.sparkSession.read.schema(packed.schema).parquet(folder).select(packed.columns)
+
+
 def write_buckets(packed: DataFrame, folder: str) -> None:
     """A folder per length; AQE cuts a large bucket over many tasks and merges small ones."""
     packed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(folder)

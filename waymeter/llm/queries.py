@@ -20,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), with_ids=False)
+    packed = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), with_ids=False)
+    return packing.bucketed(packed, new_run_folder(spark, "packing-buckets"))
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
