@@ -10,8 +10,10 @@ import public_tokenizers
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from waymeter.llm import packing, vectors
+import corpus_pipeline
+from waymeter.llm import packing, toxicity, vectors
 from waymeter.llm.queries import ORACLE, QUERIES, WORD_BPE
 
 FOLDER = "/root/testdata/sf0.001"
@@ -91,6 +93,62 @@ def test_split_trees_find_what_brute_force_finds(spark):
         assert sum(found[k] for k in part) >= 0.9 * sum(links[k] for k in part) > 0
 
 
+def test_pipeline_equals_brute_force(spark, monkeypatch):
+    folder = FOLDER  # nothing in it is predicted toxic
+    docs = pq.read_table(f"{folder}/documents.parquet").to_pydict()
+    texts = dict(zip(docs["doc_id"], docs["text"]))
+    models, train = [], toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda *args: models.append(train(*args)) or models[-1])
+    rows = corpus_pipeline.run(spark, folder).collect()
+    judged = compare.connect(folder).sql(f"SELECT doc_id FROM ({ORACLE['op8_quality']}) WHERE kept").fetchall()
+    left = [i for i, in judged]
+    assert 0 < len(left) < len(texts)
+
+    def edits(a, b):
+        line = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            before, line = line, [i]
+            for j, y in enumerate(b, 1):
+                line.append(min(before[j] + 1, line[-1] + 1, before[j - 1] + (x != y)))
+        return line[-1]
+
+    class Plain(dict):
+        def __missing__(self, word):
+            hits = []
+            for term, odds in models[0].terms.items():
+                whole = term.removesuffix("$")
+                if term == whole:
+                    hits += [(0, -odds)] * word.startswith(term)
+                elif abs(len(word) - len(whole)) <= 1:
+                    n = edits(word, whole)
+                    hits += [(n, -odds)] * (n == 0 or n == 1 and min(len(word), len(whole)) >= 5)
+            self[word] = (-min(hits)[1], min(hits)[0]) if hits else None
+            return self[word]
+
+    known, weights = Plain(), models[0].weights
+    assert len(models) == 1
+    clean = [i for i in left if sum(x * w for x, w in zip([*toxicity.features(texts[i], known), 1], weights)) < 0]
+    assert 0 < len(clean) <= len(left)
+    words = {i: (texts[i] or "").encode().lower().split() for i in clean}
+    sets = {i: Counter(tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))) for i, w in words.items()}
+    top = {i: i for i in clean}
+    for a in clean:
+        for b in clean:
+            if a < b and not sets[a].keys().isdisjoint(sets[b]) and 5 * (sets[a] & sets[b]).total() >= 4 * (sets[a] | sets[b]).total():
+                low, high = sorted((top[a], top[b]))
+                top = {k: low if v == high else v for k, v in top.items()}
+    once = set(top.values())
+    assert 0 < len(once) < len(clean)
+    library, want = Tokenizer.from_file(public_tokenizers.path(WORD_BPE)), []
+    for i in once:
+        ids, start = [*library.encode(texts[i], add_special_tokens=False).ids, 2], 0
+        while start < len(ids):
+            length = min(4096, 1 << (len(ids) - start).bit_length() - 1)
+            want.append((i, start, length, zlib.crc32(np.array(ids[start:start + length], "<u4").tobytes()), len(ids)))
+            start += length
+    assert sorted((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in rows) == sorted(want)
+
+
 def test_a_file_holds_pieces_of_one_length(spark):
     found = QUERIES["op1_packing"](spark, FOLDER)
     files = found.groupBy(F.input_file_name().alias("file")).agg(F.count_distinct("length").alias("n"), F.min("bucket").alias("bucket")).collect()
