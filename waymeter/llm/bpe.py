@@ -16,9 +16,9 @@ from functools import cached_property
 import numpy as np
 from tokenizers import Tokenizer
 
+from waymeter.llm.fragments import ENTRIES, Remembered, numbers
 from waymeter.llm.shared import worker_state
 
-ENTRIES = 250_000
 _TAIL = ".,;:!?%$*&#|"
 _WHITE = b" \t\n\v\f\r"
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -40,16 +40,15 @@ def inner_pairs(tokens: list[str], suffix: str) -> np.ndarray:
     return found
 
 
-class _Known(dict):
-    """Fragments already encoded; one that is missing is encoded when it is looked up.
+class _Ids:
+    """The ids of a fragment, as little-endian unsigned 32-bit numbers.
 
     Most are a word of Latin letters, perhaps behind a space or before punctuation. Every rule before the merges
     leaves such a word whole, so the merges alone are run on it; any other fragment takes the whole way.
     """
 
-    def __init__(self, tokenizer: Tokenizer, lowers: bool, drops_space: bool, entry):
-        super().__init__()
-        self.whole, self.merges, self.entry = tokenizer.encode, tokenizer.model.tokenize, entry
+    def __init__(self, tokenizer: Tokenizer, lowers: bool, drops_space: bool):
+        self.whole, self.merges = tokenizer.encode, tokenizer.model.tokenize
         self.lowers, self.drops_space = lowers, drops_space
         self.unit = {b: c for c, b in _byte_of().items()}
 
@@ -69,25 +68,24 @@ class _Known(dict):
             return [t.id for t in self.merges(head)] + ([t.id for t in self.merges(tail)] if tail else [])
         return self.whole(text, add_special_tokens=False).ids
 
-    def __missing__(self, fragment: bytes):
-        made = self[fragment] = self.entry(self._ids(fragment.decode("utf-8", "surrogatepass")))
-        return made
+    def __call__(self, fragment: bytes) -> bytes:
+        return np.array(self._ids(fragment.decode("utf-8", "surrogatepass")), "<u4").tobytes()
 
 
 class FragmentEncoder:
-    """Encodes whole texts through fragments; `entries` bounds the fragments it remembers."""
+    """Encodes whole texts through fragments. With `plain`, strings of special tokens are text as any other."""
 
-    def __init__(self, vocabulary: str, entry, entries: int = ENTRIES):
-        self.entries = entries
+    def __init__(self, vocabulary: str, plain: bool = False, entries: int = ENTRIES):
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.tokenizer.encode_special_tokens = plain
         with open(vocabulary, encoding="utf-8") as file:
             data = json.load(file)
         suffix = data["model"].get("end_of_word_suffix") or ""
         self.drops_space, self.lowers = bool(suffix), "Lowercase" in str(data.get("normalizer"))
-        self.known = _Known(self.tokenizer, self.lowers, self.drops_space, entry)
-        specials = [t["content"].encode() for t in data["added_tokens"]]
+        self.known = Remembered(_Ids(self.tokenizer, self.lowers, self.drops_space), entries)
+        specials = [] if plain else [t["content"].encode() for t in data["added_tokens"]]
         self.specials = re.compile(b"(" + b"|".join(map(re.escape, specials)) + b")") if specials else None
         white, mark, word, solid = (np.zeros(256, bool) for _ in range(4))
         white[list(_WHITE)] = True
@@ -100,35 +98,40 @@ class FragmentEncoder:
         self.white = white
         self.cuts = (kinds & ~inner_pairs(list(data["model"]["vocab"]), suffix)).ravel()
 
-    def _cut(self, data: bytes) -> list[bytes]:
-        if not data:
-            return []
-        a = np.frombuffer(data, np.uint8)
-        at = np.flatnonzero(self.cuts[a[:-1].astype(np.uint16) << np.uint16(8) | a[1:]]) + 1
-        starts, ends = np.r_[0, at], np.r_[at, a.size]
-        if self.drops_space:
-            keep = ~self.white[a[starts]] | (ends - starts > 1)
-            starts, ends = starts[keep], ends[keep]
-        return [data[i:j] for i, j in zip(starts.tolist(), ends.tolist())]
-
-    def fragments(self, text: str | None) -> list[bytes]:
-        data = (text or "").encode("utf-8", "surrogatepass")
+    def _parts(self, text: str) -> list[tuple[bytes, bool]]:
+        """Stretches of the text that are cut on their own, in order, and whether one stays whole; nearly always one."""
+        data = text.encode("utf-8", "surrogatepass")
         if not self.drops_space:
-            return [data] if _ODD_SPACE.search(text or "") else self._cut(data)
-        if self.specials and self.specials.search(data):
-            # A special token is a fragment; what stands between two is cut as any text.
-            parts = self.specials.split(data)
-            return [f for k, p in enumerate(parts) for f in ([p] if k % 2 else self._cut(p))]
-        return self._cut(data.lower() if self.lowers and b"<|" not in data else data)
-
-    def entries_of(self, text: str | None) -> list:
-        if len(self.known) > self.entries:
-            self.known.clear()
-        return list(map(self.known.__getitem__, self.fragments(text)))
-
-
-def _as_bytes(ids: list[int]) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+            return [(data, _ODD_SPACE.search(text) is not None)]
+        if self.specials and self.specials.search(data):  # a special token is a fragment of its own
+            return [(p, k % 2 == 1) for k, p in enumerate(self.specials.split(data)) if p]
+        return [(data.lower() if self.lowers and b"<|" not in data else data, False)]
+
+    def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in order, and how many each text has; null is the empty text."""
+        stretches, sizes, uncut = [], [], []
+        for text in texts:
+            parts = self._parts(text) if text else []
+            uncut += [len(stretches) + k for k, (_, solid) in enumerate(parts) if solid]
+            stretches += [p for p, _ in parts]
+            sizes.append(sum(len(p) for p, _ in parts))
+        buffer, bounds = b"".join(stretches), np.cumsum([0, *map(len, stretches)])
+        whole = np.frombuffer(buffer, np.uint8)
+        if not whole.size:
+            return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
+        cut = np.zeros(whole.size, bool)
+        cut[1:] = self.cuts[whole[:-1].astype(np.uint16) << np.uint16(8) | whole[1:]]
+        for k in uncut:
+            cut[bounds[k]:bounds[k + 1]] = False
+        cut[bounds[:-1]] = True
+        starts = np.flatnonzero(cut)
+        ends = np.r_[starts[1:], whole.size]
+        if self.drops_space:  # white space alone has no ids
+            keep = ~self.white[whole[starts]] | (ends - starts > 1)
+            starts, ends = starts[keep], ends[keep]
+        ids, counts = numbers(buffer, starts, ends, self.known)
+        upto = np.r_[0, np.cumsum(counts)]
+        return ids, np.diff(upto[np.searchsorted(starts, np.cumsum([0, *sizes]))])
 
 
 class Decoder:
@@ -158,11 +161,11 @@ class _Kept:
 
     @cached_property
     def encoder(self) -> FragmentEncoder:
-        return FragmentEncoder(self.vocabulary, _as_bytes)
+        return FragmentEncoder(self.vocabulary)
 
     @cached_property
-    def counter(self) -> FragmentEncoder:
-        return FragmentEncoder(self.vocabulary, len)
+    def plain(self) -> FragmentEncoder:
+        return FragmentEncoder(self.vocabulary, plain=True)
 
     @cached_property
     def decoder(self) -> Decoder:
@@ -176,13 +179,24 @@ def _kept(vocabulary: str) -> _Kept:
 # Fragments stay known across a worker's tasks.
 
 
+def encode_many(vocabulary: str, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in order, as little-endian unsigned 32-bit numbers, and how many each text has; null is
+    the empty text. Callers hand over texts of bounded size in all, see `portions`."""
+    return _kept(vocabulary).encoder.encode_many(texts)
+
+
+def encode_each(vocabulary: str, texts: list[str | None]) -> list[bytes]:
+    ids, counts = encode_many(vocabulary, texts)
+    data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+    return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+
 def encode(vocabulary: str, text: str | None) -> bytes:
-    """The text's ids as little-endian unsigned 32-bit numbers; null is the empty text."""
-    return b"".join(_kept(vocabulary).encoder.entries_of(text))
+    return encode_many(vocabulary, [text])[0].tobytes()
 
 
-def count(vocabulary: str, text: str | None) -> int:
-    return sum(_kept(vocabulary).counter.entries_of(text))
+def counts(vocabulary: str, texts: list[str | None]) -> list[int]:
+    return encode_many(vocabulary, texts)[1].tolist()
 
 
 def decoder(vocabulary: str) -> Decoder:

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from waymeter.llm import bpe
 from waymeter.llm.shared import slices
+from waymeter.llm.words import portions
 
 WIDTH = 4096
 END_ID = 2
@@ -47,8 +48,10 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             made: list[list] = [[] for _ in range(6)]
-            for row, text in enumerate(batch.column(1).to_pylist()):
-                data = bpe.encode(vocabulary, text) + end
+            texts = batch.column(1).to_pylist()
+            encoded = (data for a, b in portions(texts) for data in bpe.encode_each(vocabulary, texts[a:b]))
+            for row, data in enumerate(encoded):
+                data += end
                 start = 0
                 for length in piece_lengths(len(data) // 4, width):
                     ids = data[4 * start:4 * (start + length)]

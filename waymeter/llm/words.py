@@ -22,11 +22,11 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-_TABLE = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
+BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     if _POWERS[0].size < size:
         inverse = _U(pow(int(_BASE), -1, 1 << 64))
         for k, base in enumerate((_BASE, inverse)):
@@ -42,8 +42,8 @@ def _hashed(a: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not starts.size:
         return starts, np.empty(0, np.uint64)
     ends = np.flatnonzero(space & np.r_[False, word[:-1]])
-    up, down = _powers(max(a.size, _WINDOW))
-    sums = np.r_[_U(0), np.cumsum(_TABLE[a] * up[: a.size], dtype=np.uint64)]
+    up, down = powers(max(a.size, _WINDOW))
+    sums = np.r_[_U(0), np.cumsum(BYTE_VALUES[a] * up[: a.size], dtype=np.uint64)]
     return starts, mixed((sums[ends] - sums[starts]) * down[starts] ^ (ends - starts).astype(np.uint64))
 
 
