@@ -1,9 +1,9 @@
 """BPE encoding by forced boundaries, and decoding.
 
 A pair of neighbouring bytes that occurs inside no token of the vocabulary is a certain cut for the merges. Of
-those pairs the ones count here that also end a word for every rule before the merges: both bytes ASCII (an
-ASCII character never joins an earlier one under normalisation), one white space or punctuation and the other
-not, no apostrophe (contractions look past it). Each fragment is encoded on its own, once for many occurrences,
+those pairs the ones count here that also end a word for every rule before the merges: the second byte is ASCII (an
+ASCII character never joins an earlier one under normalisation), or a Latin letter after white space; one is white
+space or punctuation and the other not, no apostrophe (contractions look past it). Each fragment is encoded on its own, once for many occurrences,
 and the ids are concatenated. A vocabulary whose words begin with their space keeps space and word together.
 """
 
@@ -21,6 +21,8 @@ from waymeter.llm.shared import worker_state
 
 _TAIL = ".,;:!?%$*&#|"
 _WHITE = b" \t\n\v\f\r"
+#: The first byte of U+00C0 to U+00FF in UTF-8, all letters but two, and the second bytes of those two.
+_LATIN, _NO_LETTER = 0xC3, [0x97, 0xB7]
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
@@ -92,11 +94,16 @@ class FragmentEncoder:
         solid[33:127] = True
         word[[b for b in range(128) if chr(b).isalnum()]] = True
         mark[[b for b in range(33, 127) if not word[b] and chr(b) != "'"]] = True
-        kinds = solid[:, None] & white[None]
+        later = np.arange(256) >> 6 == 2  # the last byte of a character beyond ASCII
+        kinds = (solid | later)[:, None] & white[None]
+        after_letter = np.zeros((256, 256), bool)
         if self.drops_space:
-            kinds |= white[:, None] & solid[None] | word[:, None] & mark[None]
+            lead = np.arange(256) == _LATIN
+            kinds |= white[:, None] & (solid | lead)[None] | word[:, None] & mark[None]
+            after_letter |= (later & ~np.isin(np.arange(256), _NO_LETTER))[:, None] & mark[None]
+        free = ~inner_pairs(list(data["model"]["vocab"]), suffix)
         self.white = white
-        self.cuts = (kinds & ~inner_pairs(list(data["model"]["vocab"]), suffix)).ravel()
+        self.cuts, self.letter_cuts = (kinds & free).ravel(), (after_letter & free).ravel()
 
     def _parts(self, text: str) -> list[tuple[bytes, bool]]:
         """Stretches of the text that are cut on their own, in order, and whether one stays whole; nearly always one."""
@@ -120,7 +127,10 @@ class FragmentEncoder:
         if not whole.size:
             return np.empty(0, "<u4"), np.zeros(len(texts), np.int64)
         cut = np.zeros(whole.size, bool)
-        cut[1:] = self.cuts[whole[:-1].astype(np.uint16) << np.uint16(8) | whole[1:]]
+        pairs = whole[:-1].astype(np.uint16) << np.uint16(8) | whole[1:]
+        cut[1:] = self.cuts[pairs]
+        if self.drops_space:  # punctuation after the second byte of a Latin letter
+            cut[2:] |= self.letter_cuts[pairs[1:]] & (whole[:-2] == _LATIN)
         for k in uncut:
             cut[bounds[k]:bounds[k + 1]] = False
         cut[bounds[:-1]] = True

@@ -14,7 +14,7 @@ import numpy as np
 from waymeter.llm.words import BYTE_VALUES, mixed, powers
 
 #: Fragments remembered by a worker, in two halves, and the longest of them.
-ENTRIES, LONGEST = 250_000, 64
+ENTRIES, LONGEST = 400_000, 64
 WINDOW = 1 << 20
 
 
