@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from waymeter.llm import bagminhash, encoding, kneser_ney, language, packing, quality, token_counts, toxicity, vectors, warc
+from waymeter.llm import bagminhash, encoding, kneser_ney, language, packing, quality, token_counts, topk, toxicity, vectors, warc
 from waymeter.llm.shared import remainder
 from waymeter.session import new_run_folder
 
@@ -69,9 +70,13 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_warc, op3_toxicity, op4_bpe, op5_token_counts, op6_embedding_neardup,
-        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash)
+        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash, op11_topk)
 }
 
 def _bucket(value: str) -> str:
@@ -162,4 +167,17 @@ ORACLE: dict[str, str] = {
                strftime(moment, '%Y%m%d%H%M%S') AS captured
         FROM ranked
     """,
+    "op11_topk": """
+        WITH whole AS (
+            SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), ranked AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score,
+                   row_number() OVER (PARTITION BY q.rid ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+            FROM whole q JOIN whole c ON q.rid <> c.rid
+            WHERE q.vec_id % 20 = 0
+        )
+        SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
+    """,
 }
