@@ -1,0 +1,126 @@
+"""Token alignment against plain loops over both libraries' own tokens."""
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow.parquet as pq
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from waymeter.llm import alignment
+from waymeter.llm.queries import BYTE_BPE, PIECE_BPE, QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+BYTES, PIECES = public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE)
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+ODD = [
+    None, "", " ", "  ", "x", "a  b", " lead", "trail ", "trail  ", "b <|endoftext|> <s> </s> <unk> <0x41>", "C'est l'été\n\nΣΑΣ  x\t",
+    "x" * 3000, "w " * 4000, "\u0001 § ½ 日本語 テキスト \U0001f642", "a▁b", "é   　 y\u0085", "\x00", "\r\n\r\n", "fi ﬁ ² Ａ",
+]
+
+
+def byte_of():
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
+
+
+@pytest.fixture(scope="module")
+def library():
+    a, b, units = Tokenizer.from_file(BYTES), sentencepiece.SentencePieceProcessor(model_file=PIECES), byte_of()
+    a.encode_special_tokens = True
+
+    def tokens(text):
+        if not text:
+            return [], []
+        one = [(k, bytes(units[c] for c in a.id_to_token(k))) for k in a.encode(" " + text, add_special_tokens=False).ids]
+        two = []
+        for k in b.encode(text):
+            p = b.id_to_piece(k)
+            two.append((k, bytes([int(p[3:5], 16)]) if b.is_byte(k) else p.replace("▁", " ").encode()))
+        whole = (" " + text).encode()
+        return (one, two) if b"".join(t for _, t in one) == whole == b"".join(t for _, t in two) else ([], [])
+
+    return tokens
+
+
+def spans(tokens):
+    at = 0
+    for k, t in tokens:
+        yield k, at, at + len(t)
+        at += len(t)
+
+
+def taken(side, high):
+    for k, _, e in side:
+        yield str(k)
+        if e == high:
+            return
+
+
+def brute(library, texts):
+    rows, every = [], Counter()
+    for text in texts:
+        a, b = (list(spans(x)) for x in library(text))
+        links, first = [], 0
+        for i, (_, s, e) in enumerate(a):
+            while first < len(b) and b[first][2] <= s:
+                first += 1
+            j = first
+            while j < len(b) and b[j][1] < e:
+                links.append((i, j, max(s, b[j][1]), min(e, b[j][2])))
+                j += 1
+        ends = sorted({e for *_, e in a} & {e for *_, e in b})
+        groups, left = [], [iter(a), iter(b)]
+        for high in ends:
+            groups.append("|".join(",".join(taken(side, high)) for side in left))
+        rows.append((a, b, links, groups))
+        every.update((a[i][0], b[j][0]) for i, j, *_ in links)
+    highest = {}
+    for (_, y), n in every.items():
+        highest[y] = max(highest.get(y, 0), n)
+    for a, b, links, groups in rows:
+        counts = [(every[a[i][0], b[j][0]], highest[b[j][0]]) for i, j, *_ in links]
+        digest = hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""
+        yield (len(a), len(b), len(groups), len(links), sum(n == h for n, h in counts), sum(n for n, _ in counts), digest), links
+
+
+def test_query_equals_brute_force(spark, library):
+    docs = pq.read_table(f"{FOLDER}/documents.parquet").to_pydict()
+    found = {r.doc_id: tuple(r[c] for c in COLUMNS) for r in QUERIES["op13_alignment"](spark, FOLDER).collect()}
+    assert found.keys() == set(docs["doc_id"])
+    for i, (want, _) in zip(docs["doc_id"], brute(library, docs["text"])):
+        assert found[i] == want
+
+
+def test_odd_texts_and_rows(spark, library, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 2000)
+    texts = [*ODD, "the same words", "the same words"]
+    rows = spark.createDataFrame([(k, t, "x", 1) for k, t in enumerate(texts)] + [(None, "no id", "x", 1)], "doc_id long, text string, chunk string, at long")
+    found = alignment.alignment(rows.repartition(3), BYTES, PIECES, with_groups=True).collect()
+    assert len(found) == len(texts) + 1
+    by_id = {r.doc_id: r for r in found}
+    for k, (want, links) in zip([*range(len(texts)), None], brute(library, [*texts, "no id"])):
+        row = by_id[k]
+        assert tuple(row[c] for c in COLUMNS) == want, texts[k or 0]
+        assert row.groups_sha256 == (hashlib.sha256(row.groups.encode()).hexdigest() if row.groups else "")
+    spans_ = alignment.overlaps(rows, BYTES, PIECES).where("doc_id IS NOT NULL").collect()
+    want = sorted((k, *link) for k, (_, links) in enumerate(brute(library, texts)) for link in links)
+    assert sorted((r.doc_id, r.a_at, r.b_at, r.begin, r.end) for r in spans_) == want
+    assert alignment.alignment(rows.limit(0), BYTES, PIECES).count() == 0
+
+
+def test_fragments_give_the_model_s_pieces():
+    draw = random.Random(5)
+    signs = [*"aAbe 's'.,;!?-0123 \n\t  \u0085éß　中🙂́\x00", "<s>", " the", "  ", "<0x0A>", "▁"]
+    texts = ["".join(draw.choices(signs, k=draw.randint(1, 30))) for _ in range(5000)]
+    encoder, whole = alignment.PieceEncoder(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    parts = [(" " + t).encode() for t in texts]
+    ids, counts = encoder.encode_many(b"".join(parts), np.cumsum([0, *map(len, parts)]))
+    for text, n, end in zip(texts, counts, np.cumsum(counts)):
+        if "▁" not in text:
+            assert whole.encode(text) == ids[end - n:end].tolist()

@@ -26,7 +26,7 @@ _LATIN, _NO_LETTER = 0xC3, [0x97, 0xB7]
 _ODD_SPACE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
-def _byte_of() -> dict[str, int]:
+def byte_of() -> dict[str, int]:
     """Byte-level vocabularies write printable bytes as themselves and the rest from U+0100 on."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in plain]
@@ -35,9 +35,9 @@ def _byte_of() -> dict[str, int]:
 
 def inner_pairs(tokens: list[str], suffix: str) -> np.ndarray:
     """[a, b]: whether byte b follows byte a inside some token."""
-    found, byte_of = np.zeros((256, 256), bool), _byte_of()
+    found, units_of = np.zeros((256, 256), bool), byte_of()
     for token in tokens:
-        units = [byte_of[c] for c in (token.removesuffix(suffix) if suffix else token) if c in byte_of]
+        units = [units_of[c] for c in (token.removesuffix(suffix) if suffix else token) if c in units_of]
         found[units[:-1], units[1:]] = True
     return found
 
@@ -52,7 +52,7 @@ class _Ids:
     def __init__(self, tokenizer: Tokenizer, lowers: bool, drops_space: bool):
         self.whole, self.merges = tokenizer.encode, tokenizer.model.tokenize
         self.lowers, self.drops_space = lowers, drops_space
-        self.unit = {b: c for c, b in _byte_of().items()}
+        self.unit = {b: c for c, b in byte_of().items()}
 
     def _word(self, text: str) -> list[int]:
         if not text.isascii():

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import bagminhash, encoding, kneser_ney, language, packing, quality, token_counts, topk, toxicity, vectors, warc
+from waymeter.llm import alignment, bagminhash, encoding, kneser_ney, language, packing, quality, token_counts, topk, toxicity, vectors, warc
 from waymeter.llm.shared import remainder
 from waymeter.session import new_run_folder
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,9 +75,14 @@ def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.alignment(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_warc, op3_toxicity, op4_bpe, op5_token_counts, op6_embedding_neardup,
-        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash, op11_topk)
+        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash, op11_topk, op13_alignment)
 }
 
 def _bucket(value: str) -> str:
