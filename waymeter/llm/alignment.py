@@ -27,13 +27,10 @@ from sentencepiece import SentencePieceProcessor
 
 from waymeter.llm.bpe import FragmentEncoder, byte_of
 from waymeter.llm.fragments import Remembered, numbers, ranges
-from waymeter.llm.shared import packed, slices, unpacked, worker_state, written
-from waymeter.llm.words import portions
+from waymeter.llm.shared import packed, text_slices, unpacked, worker_state, written
 
 #: Characters of a chunk's texts and pairs that it may know before it ends; entries of one row of its dictionary.
 CHUNK, PAIRS, ENTRIES = 32 << 20, 1 << 20, 1 << 16
-#: Characters of texts that are aligned at once.
-BATCH = 1 << 20
 _SPACE = "▁"
 
 
@@ -269,16 +266,14 @@ def _chunked(docs: DataFrame, byte_level: str, pieces: str, with_groups: bool) -
         pair = _pair(byte_level, pieces)
         base, number, kind = TaskContext.get().partitionId() << 32, 0, pa.null()
         chunk = _Chunk(base)
-        for batch in slices(batches):
-            kind = batch.column(0).type
-            bodies = batch.column(1).to_pylist()
-            for at, end in portions(bodies, BATCH):
-                yield texts(batch.column(0).slice(at, end - at), pair.aligned(bodies[at:end]), chunk)
-                chunk.characters += sum(len(t or "") for t in bodies[at:end])
-                if chunk.characters >= CHUNK or chunk.codes.size >= PAIRS:
-                    yield from pairs(chunk, kind)
-                    number += 1
-                    chunk = _Chunk(base + number)
+        for batch in text_slices(batches):
+            kind, bodies = batch.column(0).type, batch.column(1).to_pylist()
+            yield texts(batch.column(0), pair.aligned(bodies), chunk)
+            chunk.characters += sum(len(t or "") for t in bodies)
+            if chunk.characters >= CHUNK or chunk.codes.size >= PAIRS:
+                yield from pairs(chunk, kind)
+                number += 1
+                chunk = _Chunk(base + number)
         yield from pairs(chunk, kind)
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)
@@ -334,17 +329,15 @@ def overlaps(docs: DataFrame, byte_level: str, pieces: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _pair(byte_level, pieces)
-        for batch in slices(batches):
-            bodies = batch.column(1).to_pylist()
-            for at, end in portions(bodies, BATCH):
-                found = pair.aligned(bodies[at:end])
-                i, j = found.links
-                doc = found.docs[0][i]
-                a, b = ((np.cumsum(n) - n)[doc] for n in (found.n_a, found.n_b))
-                base = found.bounds[:-1][doc]
-                begin = np.maximum(found.ends[0][i] - pair.a.lengths[found.a[i]], found.ends[1][j] - pair.b.lengths[found.b[j]])
-                numbers_ = (i - a, j - b, found.a[i], found.b[j], begin - base, np.minimum(found.ends[0][i], found.ends[1][j]) - base)
-                rows = batch.column(0).slice(at, end - at).take(pa.array(found.used[doc]))
-                yield pa.RecordBatch.from_arrays([rows, *map(pa.array, numbers_)], schema.names)
+        for batch in text_slices(batches):
+            found = pair.aligned(batch.column(1).to_pylist())
+            i, j = found.links
+            doc = found.docs[0][i]
+            a, b = ((np.cumsum(n) - n)[doc] for n in (found.n_a, found.n_b))
+            base = found.bounds[:-1][doc]
+            begin = np.maximum(found.ends[0][i] - pair.a.lengths[found.a[i]], found.ends[1][j] - pair.b.lengths[found.b[j]])
+            numbers_ = (i - a, j - b, found.a[i], found.b[j], begin - base, np.minimum(found.ends[0][i], found.ends[1][j]) - base)
+            rows = batch.column(0).take(pa.array(found.used[doc]))
+            yield pa.RecordBatch.from_arrays([rows, *map(pa.array, numbers_)], schema.names)
 
     return docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, schema)

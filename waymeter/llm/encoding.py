@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.llm import bpe
-from waymeter.llm.shared import slices
-from waymeter.llm.words import portions
+from waymeter.llm.shared import slices, text_slices
 
 
 def _mapped(rows: DataFrame, key: str, value: str, added: list[tuple[str, str, pa.DataType]], work) -> DataFrame:
@@ -22,7 +21,7 @@ def _mapped(rows: DataFrame, key: str, value: str, added: list[tuple[str, str, p
         schema = schema.add(name, T.DataType.fromDDL(kind))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in text_slices(batches) if value == "text" else slices(batches):
             columns = zip(*work(batch.column(1).to_pylist())) if batch.num_rows else [[]] * len(added)
             arrays = [pa.array(c, kind) for c, (_, _, kind) in zip(columns, added)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], schema.names)
@@ -30,17 +29,13 @@ def _mapped(rows: DataFrame, key: str, value: str, added: list[tuple[str, str, p
     return rows.select(key, value).mapInArrow(run, schema)
 
 
-def _encoded(vocabulary: str, texts: list[str | None]) -> Iterator[bytes]:
-    return (data for a, b in portions(texts) for data in bpe.encode_each(vocabulary, texts[a:b]))
-
-
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """doc_id, ids (array of int) of every text; null is the empty text and has no ids.
 
     A map over the rows. Repeated rows and null doc_ids stay, other columns are not read.
     """
     def work(texts):
-        return ((np.frombuffer(data, "<u4").astype(np.int32),) for data in _encoded(vocabulary, texts))
+        return ((np.frombuffer(data, "<u4").astype(np.int32),) for data in bpe.encode_each(vocabulary, texts))
 
     return _mapped(docs.withColumn("text", F.col("text").cast("string")), "doc_id", "text", [("ids", "array<int>", pa.list_(pa.int32()))], work)
 
@@ -60,7 +55,7 @@ def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
     """
     def work(texts):
         back = bpe.decoder(vocabulary)
-        for data in _encoded(vocabulary, texts):
+        for data in bpe.encode_each(vocabulary, texts):
             ids = np.frombuffer(data, "<u4").tolist()
             yield (
                 len(ids),

@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.llm import bpe
-from waymeter.llm.shared import slices
-from waymeter.llm.words import portions
+from waymeter.llm.shared import text_slices
 
 WIDTH = 4096
 END_ID = 2
@@ -46,11 +45,9 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
     schema = (schema.add("ids", "binary") if with_ids else schema).add("ids_crc32", "long").add("doc_tokens", "long")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in text_slices(batches):
             made: list[list] = [[] for _ in range(6)]
-            texts = batch.column(1).to_pylist()
-            encoded = (data for a, b in portions(texts) for data in bpe.encode_each(vocabulary, texts[a:b]))
-            for row, data in enumerate(encoded):
+            for row, data in enumerate(bpe.encode_each(vocabulary, batch.column(1).to_pylist())):
                 data += end
                 start = 0
                 for length in piece_lengths(len(data) // 4, width):

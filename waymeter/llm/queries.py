@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeter.llm import alignment, bagminhash, encoding, kneser_ney, language, packing, quality, token_counts, topk, toxicity, vectors, warc
+from waymeter.llm import alignment, bagminhash, encoding, kneser_ney, language, packing, quality, repair, token_counts, topk, toxicity, vectors, warc
 from waymeter.llm.shared import remainder
 from waymeter.session import new_run_folder
 
@@ -75,6 +75,10 @@ def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repaired(repair.damaged(table(spark, sf_dir, "conversations")))
+
+
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return alignment.alignment(docs, public_tokenizers.path(BYTE_BPE), public_tokenizers.path(PIECE_BPE))
@@ -82,7 +86,7 @@ def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_packing, op2_warc, op3_toxicity, op4_bpe, op5_token_counts, op6_embedding_neardup,
-        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash, op11_topk, op13_alignment)
+        op7_kneser_ney, op8_quality, op9_language_id, op10_bagminhash, op11_topk, op12_repair, op13_alignment)
 }
 
 def _bucket(value: str) -> str:
@@ -186,4 +190,62 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 20
     """,
+    "op12_repair": """
+        WITH RECURSIVE faults AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   xor(list_reduce(
+                       list_prepend(4294967295::UBIGINT, list_transform(
+                           string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: ascii(c)::UBIGINT)),
+                       lambda crc, byte: list_reduce([xor(crc, byte), 0, 0, 0, 0, 0, 0, 0, 0],
+                                                     lambda x, y: xor(x >> 1, (x & 1) * 3988292384::UBIGINT))
+                   ), 4294967295::UBIGINT) % 20 AS fault
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+                   CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+            FROM (FROM faults UNION ALL FROM faults WHERE fault = 3) WHERE fault <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) AS i,
+                   left(role, 1) AS letter, NOT regexp_matches(text, '[^ \\t-\\r]') AS blank
+            FROM damaged
+        ), seen AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS times FROM placed
+        ), rows AS (
+            SELECT *, NOT blank AND times > 1 AS duplicate,
+                   NOT blank AND times = 1 AND NOT regexp_matches(text, '[.!?][ \\t-\\r]*$') AS truncated,
+                   lag(letter) OVER (PARTITION BY conv_id ORDER BY i) || letter AS pair
+            FROM seen
+        ), counts AS (
+            SELECT conv_id, count(i) AS n, coalesce(max(rows.turn) - min(rows.turn) + 1 - count(DISTINCT rows.turn), 0)::BIGINT AS gaps,
+                   count_if(blank)::BIGINT AS blank, count_if(duplicate)::BIGINT AS duplicate, count_if(truncated)::BIGINT AS truncated,
+                   count(CASE WHEN pair NOT IN ('su', 'ua', 'au') THEN 1 END) AS illegal
+            FROM (SELECT DISTINCT conv_id FROM conversations) LEFT JOIN rows USING (conv_id) GROUP BY conv_id
+        ), letters(q, letter, r) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)
+        ), inserted(q, r, n, edits, lines) AS (
+            SELECT * FROM (VALUES (0, 2, 1, 'I', chr(10) || 'user:'), (1, 2, 1, 'I', chr(10) || 'user:'), (2, 3, 1, 'I', chr(10) || 'assistant:'),
+                (3, 2, 1, 'I', chr(10) || 'user:'), (0, 3, 2, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+                (1, 3, 2, 'II', chr(10) || 'user:' || chr(10) || 'assistant:')) UNION ALL SELECT q, q, 0, '', '' FROM range(4) t(q)
+        ), way AS (
+            SELECT conv_id, 0::BIGINT AS i, 0 AS q, struct_pack(cost := 0, audit := '', lines := '') AS best FROM counts
+            UNION ALL
+            SELECT way.conv_id, way.i + 1, edit.r, min(struct_pack(
+                cost := best.cost + 3 * inserted.n + edit.cost, audit := best.audit || inserted.edits || edit.edit, lines := best.lines || inserted.lines || edit.line))
+            FROM way JOIN inserted ON way.q = inserted.q JOIN (
+                SELECT conv_id, i, q, q AS r, 4 AS cost, 'D' AS edit, '' AS line FROM rows, range(4) t(q)
+                UNION ALL
+                SELECT conv_id, i, q, r, CASE WHEN rows.letter = letters.letter THEN 0 ELSE 3 END + CASE WHEN truncated THEN 3 ELSE 0 END,
+                       CASE WHEN rows.letter = letters.letter THEN 'K' ELSE 'R' END,
+                       chr(10) || CASE WHEN rows.letter = letters.letter THEN role WHEN letters.letter = 'u' THEN 'user' ELSE 'assistant' END || ':' || text
+                FROM rows, letters WHERE NOT blank AND NOT duplicate AND (rows.letter = letters.letter OR letters.letter <> 's')
+            ) edit ON edit.conv_id IS NOT DISTINCT FROM way.conv_id AND edit.i = way.i + 1 AND edit.q = inserted.r
+            GROUP BY way.conv_id, way.i, edit.r
+        ), ended AS (
+            SELECT way.conv_id, min(struct_pack(cost := best.cost + 3 * inserted.n, audit := best.audit || edits, lines := best.lines || inserted.lines)) AS best
+            FROM way JOIN counts ON way.conv_id IS NOT DISTINCT FROM counts.conv_id AND way.i = counts.n
+            JOIN inserted ON way.q = inserted.q AND inserted.r IN (0, 3) GROUP BY way.conv_id
+        )
+        SELECT counts.conv_id, gaps, blank, duplicate, truncated, illegal, best.cost::BIGINT AS cost, best.audit AS audit,
+               sha256(substr(best.lines, 2)) AS repaired_sha256
+        FROM counts JOIN ended ON counts.conv_id IS NOT DISTINCT FROM ended.conv_id
+    """,
 }

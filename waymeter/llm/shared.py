@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +61,18 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most `size` bytes in the text column, or of one row."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, upto - at)
+            at = upto
+
+
 def give_back() -> None:
     gc.collect()
     pa.default_memory_pool().release_unused()

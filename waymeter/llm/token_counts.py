@@ -15,8 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymeter.llm import bpe
-from waymeter.llm.shared import slices
-from waymeter.llm.words import portions
+from waymeter.llm.shared import text_slices
 
 CACHE = "content_digest string, tokenizer_digest string, n_tokens long"
 
@@ -53,9 +52,8 @@ def fill_cache(docs: DataFrame, vocabulary: str, cache: str) -> None:
     misses = misses.join(known, "content_digest", "left_anti")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            texts = batch.column(1).to_pylist()
-            counts = [n for a, b in portions(texts) for n in bpe.counts(vocabulary, texts[a:b])]
+        for batch in text_slices(batches):
+            counts = bpe.counts(vocabulary, batch.column(1).to_pylist())
             columns = [batch.column(0), pa.array([version] * len(counts), pa.string()), pa.array(counts, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["content_digest", "tokenizer_digest", "n_tokens"])
 
