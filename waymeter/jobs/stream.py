@@ -8,17 +8,29 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from waymeter.config import JdbcConfig, StreamConfig, TrafficConfig, add_options, given
 from waymeter.operators.messages import decode_messages
 from waymeter.session import build_session
+from waymeter.sinks.upsert import ALERTS, WINDOWS, jdbc_run, prepare, upsert_sink
 from waymeter.sources.kafka import stream_messages
-from waymeter.streaming.batch_sinks import alert_topic_sink, jdbc_sink, table_sink
+from waymeter.streaming.batch_sinks import BatchSink, alert_topic_sink, jdbc_sink, table_sink
 from waymeter.streaming.queries import start_alerts, start_all, start_archive, start_congestion_sink
 
 
+def database_sinks(spark: SparkSession, database: JdbcConfig, append_only: bool) -> tuple[BatchSink, BatchSink]:
+    """Sinks of the window and the alert table: exactly once through a ledger, or plain appends."""
+    if append_only:
+        return jdbc_sink(database, WINDOWS.name), jdbc_sink(database, ALERTS.name)
+    prepare(jdbc_run(spark, database), WINDOWS, ALERTS)
+    return upsert_sink(database, WINDOWS), upsert_sink(database, ALERTS)
+
+
 def main(arguments: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--tables", help="folder of the file tables; without it, JDBC tables are used")
+    parser.add_argument("--append-only", action="store_true", help="append to JDBC tables without staging: at least once")
     parser.add_argument("--live", action="store_true", help="store every change of open windows too")
     parser.add_argument("--archive", help="folder of raw readings and bad messages; by default that of the tables")
     parser.add_argument("--no-archive", action="store_true", help="keep neither")
@@ -45,8 +57,9 @@ def main(arguments: list[str] | None = None) -> None:
         database = JdbcConfig.from_env()
         decoded = decode_messages(messages)
         readings = decoded.drop("json_str")
-        start_congestion_sink(readings, config, jdbc_sink(database, "congestion_index"))
-        start_alerts(readings, config, jdbc_sink(database, "critical_alerts"), topic=topic)
+        windows, alerts = database_sinks(spark, database, options.append_only)
+        start_congestion_sink(readings, config, windows)
+        start_alerts(readings, config, alerts, topic=topic)
         if archive:
             start_archive(decoded, config, archive)
     spark.streams.awaitAnyTermination()
