@@ -1,0 +1,101 @@
+"""Hours and daily peaks that a stream closes: against the batch, over restarts, in zones, with ties and nulls."""
+
+import pytest
+from pyspark.sql import functions as F
+from test_streams import ONCE, Topic, message, readings, run
+
+from waymeter.config import StreamConfig
+from waymeter.functions.times import fixed_offset
+from waymeter.operators.hourly import daily_peak_report, hourly_rollup, peak_hours
+from waymeter.operators.hours import hours_of_day, hours_of_readings, peaks_of_readings
+from waymeter.operators.windows import congestion_windows
+from waymeter.sources.events import read_events, readings_from_events
+from waymeter.sources.tables import read_daily_peaks, read_hours
+from waymeter.streaming import queries as Q
+
+FOLDER = "/root/testdata/sf0.01"
+
+
+@pytest.fixture
+def topic(tmp_path):
+    return Topic(tmp_path / "topic")
+
+
+@pytest.fixture
+def config(tmp_path):
+    return StreamConfig(checkpoint_base=f"{tmp_path}/checkpoints")
+
+
+@pytest.mark.parametrize("tz", ["UTC", "Asia/Colombo", "Asia/Tokyo"])
+def test_the_same_steps_as_a_batch(spark, tz):
+    events = readings_from_events(read_events(spark, FOLDER))
+    events = events.withColumn("avg_speed", F.expr("CASE WHEN event_id % 11 <> 0 THEN avg_speed END")).withColumn(
+        "vehicle_count", F.expr("CASE WHEN event_id % 7 <> 0 THEN vehicle_count END")).persist()
+    rounded = lambda df: sorted(str(r) for r in df.select(*[
+        F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes]).collect())
+    hours = hours_of_readings(events, tz=tz)
+    batch = hourly_rollup(congestion_windows(events), tz)
+    assert rounded(hours.drop("hour_start", "hour_end")) == rounded(batch)
+    assert hours.where("hour_end - hour_start <> INTERVAL 1 HOUR OR minute(hour_slot) <> 0").count() == 0
+    assert rounded(peaks_of_readings(events, tz=tz)) == rounded(peak_hours(batch))
+
+
+def test_zones_with_a_moved_clock_have_no_even_hours():
+    assert (fixed_offset(), fixed_offset("Asia/Colombo"), fixed_offset("America/Phoenix")) == (0, 330, -420)
+    with pytest.raises(ValueError, match="is moved"):
+        fixed_offset("Europe/Berlin")
+
+
+def test_an_hour_comes_out_once_when_it_is_over(spark, topic, config, tmp_path):
+    """Restarts between the files; a late reading still counts while its hour is open."""
+    files = [
+        [("08:10:00", 10, 20.0), ("08:20:00", 30, 40.0)], [("08:59:00", 2, 10.0)],
+        [("08:22:00", 7, 50.0), ("09:01:00", 1, 30.0)],  # one batch of grace for the late reading
+        [("09:03:00", 1, 30.0)], [("11:00:00", 5, 30.0)], [("11:30:00", 5, 30.0)],
+    ]
+    seen = []
+    for rows in files:
+        topic.add_readings([rows])
+        run(Q.start_hours(readings(spark, topic), config, f"{tmp_path}/hours", trigger=ONCE))
+        try:
+            seen.append(sorted((r.hour_slot.hour, r.total_vehicles) for r in read_hours(spark, f"{tmp_path}/hours").collect()))
+        except Exception:  # nothing is written yet
+            seen.append([])
+    assert seen[0] == seen[1] == seen[2] == []
+    assert seen[-1] == [(8, 42), (9, 2)]
+    row = read_hours(spark, f"{tmp_path}/hours").where("hour(hour_slot) = 8").first()
+    # Means of windows: 08:10 with 20, 08:20 with 40 or, its late reading counted, less, 08:55 with 10.
+    assert (row.total_vehicles, row.junction_name, row.hour_date.isoformat()) == (42, "A", "2025-07-15")
+
+
+def test_a_replayed_hour_replaces_itself_and_a_new_checkpoint_adds_nothing(spark, topic, tmp_path):
+    topic.add_readings([[("08:10:00", 10, 20.0)], [("10:00:00", 1, 20.0)], [("12:00:00", 1, 20.0)]])
+    for name in ("one", "two"):
+        run(Q.start_hours(readings(spark, topic), StreamConfig(checkpoint_base=f"{tmp_path}/{name}"), f"{tmp_path}/h", trigger=ONCE))
+    rows = read_hours(spark, f"{tmp_path}/h").orderBy("hour_slot").collect()
+    assert [(r.hour_slot.hour, r.total_vehicles) for r in rows] == [(8, 10), (10, 1)]
+
+
+def test_days_come_out_once_with_their_earliest_peak(spark, topic, config, tmp_path):
+    clock = lambda day, text: message(text, 5, 20.0).replace("2025-07-15", day)
+    topic.add(clock("2025-07-15", "08:10:00"), clock("2025-07-15", "17:10:00"), clock("2025-07-15", "20:00:00"))
+    topic.add(clock("2025-07-16", "09:00:00"), clock("2025-07-16", "19:00:00"))
+    topic.add(clock("2025-07-17", "09:00:00"))
+    run(Q.start_daily_peaks(readings(spark, topic), config, f"{tmp_path}/peaks", "Asia/Colombo", ONCE))
+    rows = read_daily_peaks(spark, f"{tmp_path}/peaks").orderBy("report_date").collect()
+    # 20:00 UTC belongs to the next local day, whose first hour wins its tie.
+    assert [(str(r.report_date), r.peak_hour, r.total_vehicles) for r in rows] == [("2025-07-15", 13, 5), ("2025-07-16", 1, 5)]
+
+
+def test_a_night_reads_one_date_of_hours(spark, topic, config, tmp_path):
+    clock = lambda day, text, n: message(text, n, 12.0).replace("2025-07-15", day)
+    topic.add(clock("2025-07-15", "08:10:00", 5), clock("2025-07-15", "17:10:00", 9), clock("2025-07-16", "09:00:00", 3))
+    topic.add(clock("2025-07-18", "09:00:00", 1))
+    run(Q.start_hours(readings(spark, topic), config, f"{tmp_path}/h", trigger=ONCE))
+    hours = read_hours(spark, f"{tmp_path}/h")
+    night = hours_of_day(hours, "2025-07-15")
+    plan = night._jdf.queryExecution().executedPlan().toString()
+    assert "hour_date" in plan[plan.index("PartitionFilters"):]
+    report = daily_peak_report(peak_hours(night)).collect()
+    assert [(str(r.report_date), r.peak_hour, r.total_vehicles, r.reason) for r in report] == [
+        ("2025-07-15", 17, 9, "Avg speed 12.0 km/h (<15)")]

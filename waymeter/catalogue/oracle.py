@@ -28,6 +28,11 @@ def _stored(value: str, digits: int) -> str:
     return f"CAST(CAST(round({value}, 6) AS DECIMAL(18, 6)) AS DECIMAL({digits}, 2))"
 
 
+def _closed() -> str:
+    """The watermark at the end of the input, in whole milliseconds."""
+    return "date_trunc('millisecond', (SELECT max(event_time) FROM reading)) - INTERVAL 2 MINUTE"
+
+
 def _padded(name: str, width: int) -> str:
     return f"rpad({name}, greatest(length({name}), {width})::INTEGER, ' ')"
 
@@ -365,6 +370,15 @@ WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readi
                     - INTERVAL 2 MINUTE"""),
     "stream_live": _with(READING, CW, CS, select="SELECT * FROM cs"),
     "backfill_after_stream": _with(READING, CW, CS, select="SELECT * FROM cs"),
+    # An hour or a day is out when its last instant is behind the watermark.
+    "stream_hourly": _with(READING, CW, HR, select=f"""
+SELECT {HOURLY_COLUMNS} FROM hr WHERE hour_slot + INTERVAL 1 HOUR <= {_closed()}"""),
+    "stream_hourly_local": _with(READING, CW, _hr(LOCAL_SHIFT), select=f"""
+SELECT {HOURLY_COLUMNS} FROM hr WHERE hour_slot + INTERVAL 1 HOUR <= {_closed()} + {LOCAL_SHIFT}"""),
+    "report_from_hours": _with(READING, CW, _hr(where=f"date_trunc('hour', window_start) + INTERVAL 1 HOUR <= {_closed()}"), PK, FLAGGED,
+                               select=f"SELECT {DAILY_COLUMNS} FROM flagged"),
+    "stream_daily_peaks": _with(READING, CW, _hr(LOCAL_SHIFT), PK, FLAGGED, select=f"""
+SELECT {DAILY_COLUMNS} FROM flagged WHERE day + INTERVAL 1 DAY <= {_closed()} + {LOCAL_SHIFT}"""),
     "stream_alerts": STORED_ALERTS_SQL,
     "replay_decode": _with(READING, DECODED, select=f"""
 SELECT sensor_id, junction_name, event_time, vehicle_count, avg_speed,

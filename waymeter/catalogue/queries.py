@@ -334,6 +334,38 @@ def stream_live(spark, folder):
     return latest.drop("recorded_at", "batch_id", "window_date", "batch_key")
 
 
+def stream_hourly(spark, folder):
+    """Hours that the watermark has passed, each once."""
+    config, path = _stream_setup(spark, "hours")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_hours(readings, config, path, trigger=ONCE).awaitTermination()
+    return H.order_rollup(T.read_hours(spark, path).drop("hour_start", "hour_end", "hour_date", "recorded_at"))
+
+
+def stream_hourly_local(spark, folder):
+    """The same in a half-hour zone, whose hours begin half an hour apart from those of UTC."""
+    config, path = _stream_setup(spark, "hours-local")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_hours(readings, config, path, LOCAL_ZONE, ONCE).awaitTermination()
+    return H.order_rollup(T.read_hours(spark, path).drop("hour_start", "hour_end", "hour_date", "recorded_at"))
+
+
+def report_from_hours(spark, folder):
+    """The nightly answer of every closed day from the stream's hour table."""
+    config, path = _stream_setup(spark, "hours-report")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_hours(readings, config, path, trigger=ONCE).awaitTermination()
+    return N.report_of_hours(T.read_hours(spark, path))
+
+
+def stream_daily_peaks(spark, folder):
+    """Days that the watermark has passed, closed by the stream itself."""
+    config, path = _stream_setup(spark, "peaks")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_daily_peaks(readings, config, path, LOCAL_ZONE, ONCE).awaitTermination()
+    return T.read_daily_peaks(spark, path).drop("created_at")
+
+
 def stream_alerts(spark, folder):
     config, path = _stream_setup(spark, "alerts")
     readings = readings_from_events(stream_events(spark, folder))
@@ -374,6 +406,6 @@ QUERIES: dict[str, Query] = {
         interventions, daily_peak_report, volume_table, peak_volume, chart_series, peak_lines,
         intervention_lines, intervention_summary, nightly_text_report, summary_text_report,
         csv_roundtrip, text_roundtrip, nightly_tables, stream_congestion, backfill_after_stream, stream_live,
-        stream_alerts, replay_decode, replay_quarantine,
+        stream_hourly, stream_hourly_local, report_from_hours, stream_daily_peaks, stream_alerts, replay_decode, replay_quarantine,
     )
 }

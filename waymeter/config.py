@@ -66,6 +66,8 @@ class StreamConfig:
     min_partitions: int | None = None
     congestion_trigger: str = "30 seconds"
     critical_trigger: str = "5 seconds"
+    # Hours and days end seldom.
+    rollup_trigger: str = "5 minutes"
     # Each trigger leaves a file per topic partition; nothing waits for the archive.
     archive_trigger: str = "10 minutes"
     # Checkpoint root; None means the shared folder the session names.

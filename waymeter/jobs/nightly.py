@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from waymeter.config import DEFAULTS, JdbcConfig, TrafficConfig, add_options, given
 from waymeter.functions.times import UTC, day_bounds
 from waymeter.operators.hourly import hourly_rollup, windows_of_day
+from waymeter.operators.hours import hours_of_day
 from waymeter.operators.windows import latest_windows
-from waymeter.plans.nightly import nightly_report
+from waymeter.plans.nightly import nightly_report, report_of_hours
 from waymeter.plans.reports import (
     chart_series,
     nightly_text_report,
@@ -29,14 +30,19 @@ from waymeter.schemas import HOURLY_VOLUME
 from waymeter.session import build_session
 from waymeter.sinks.files import write_csv, write_daily_report, write_lines
 from waymeter.sources.jdbc import read_table
-from waymeter.sources.tables import read_alerts, read_daily_report, read_windows
+from waymeter.sources.tables import read_alerts, read_daily_report, read_hours, read_windows
 
 
 def write_nightly(spark: SparkSession, windows: DataFrame, day: str, tz: str, tables: str,
                   reports: str, rules: TrafficConfig = DEFAULTS) -> DataFrame:
+    """The day's rows of the daily table from its windows, then its reports."""
+    return write_daily(spark, nightly_report(windows, day, tz, rules), day, tables, reports)
+
+
+def write_daily(spark: SparkSession, report: DataFrame, day: str, tables: str, reports: str) -> DataFrame:
     """The day's rows of the daily table, then its reports from the rows as stored."""
     path = f"{tables}/daily_peak_report"
-    write_daily_report(nightly_report(windows, day, tz, rules), path, day)
+    write_daily_report(report, path, day)
     stored = read_daily_report(spark, path).filter(F.col("report_date") == F.lit(day).cast("date"))
     peaks = stored.select(
         "sensor_id", "junction_name", "peak_hour", "total_vehicles", "avg_speed", "avg_ci",
@@ -49,9 +55,15 @@ def write_nightly(spark: SparkSession, windows: DataFrame, day: str, tz: str, ta
 
 def write_volume_reports(windows: DataFrame, alerts: DataFrame, stored: DataFrame, day: str, tz: str,
                          reports: str, rules: TrafficConfig = DEFAULTS) -> None:
+    """The reports of the day's hours from its windows."""
+    write_hour_reports(hourly_rollup(windows_of_day(windows, day, tz), tz), alerts, stored, day, tz, reports, rules)
+
+
+def write_hour_reports(hours: DataFrame, alerts: DataFrame, stored: DataFrame, day: str, tz: str,
+                       reports: str, rules: TrafficConfig = DEFAULTS) -> None:
     """Hourly volume as CSV, chart series as JSON lines, and the text summary."""
     # One day of hours, a row per sensor and hour: computed once for all three.
-    volume = volume_table(hourly_rollup(windows_of_day(windows, day, tz), tz), rules).persist()
+    volume = volume_table(hours, rules).persist()
     ordered = order_volume(volume).select(*HOURLY_VOLUME.fieldNames())
     write_csv(ordered, f"{reports}/traffic_volume_report_{day}")
     chart_series(volume).write.mode("overwrite").json(f"{reports}/traffic_report_chart_{day}")
@@ -73,6 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--tables", required=True, help="folder of the file tables")
     parser.add_argument("--reports", required=True, help="folder of the reports")
     parser.add_argument("--jdbc", action="store_true", help="read windows and alerts over JDBC")
+    parser.add_argument("--from-hours", action="store_true", help="take the hours that the stream has closed in this zone, not the windows")
     add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
     rules = TrafficConfig(**given(options, TrafficConfig))
@@ -93,6 +106,11 @@ def main(arguments: list[str] | None = None) -> None:
     else:
         windows = read_windows(spark, f"{options.tables}/congestion_index")
         alerts = read_alerts(spark, f"{options.tables}/critical_alerts")
+    if options.from_hours:
+        hours = hours_of_day(read_hours(spark, f"{options.tables}/hourly_rollup"), options.day)
+        stored = write_daily(spark, report_of_hours(hours, rules=rules), options.day, options.tables, options.reports)
+        write_hour_reports(hours, alerts, stored, options.day, options.tz, options.reports, rules)
+        return
     stored = write_nightly(
         spark, windows, options.day, options.tz, options.tables, options.reports, rules
     )

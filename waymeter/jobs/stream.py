@@ -33,12 +33,15 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--append-only", action="store_true", help="append to JDBC tables without staging: at least once")
     parser.add_argument("--live", action="store_true", help="store every change of open windows too")
     parser.add_argument("--archive", help="folder of raw readings and bad messages; by default that of the tables")
+    parser.add_argument("--hours", metavar="ZONE", help="close hours and daily peaks of this zone too, to the tables hourly_rollup and daily_peaks")
     parser.add_argument("--no-archive", action="store_true", help="keep neither")
     add_options(parser, StreamConfig)
     add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
     if options.live and not options.tables:
         parser.error("--live needs --tables")
+    if options.hours and not options.tables:
+        parser.error("--hours needs --tables")
     archive = None if options.no_archive else options.archive or options.tables
     if archive is None and not options.no_archive:
         parser.error("without --tables name an --archive folder, or give --no-archive")
@@ -52,7 +55,7 @@ def main(arguments: list[str] | None = None) -> None:
         live = None
         if options.live:
             live = table_sink(f"{options.tables}/congestion_live", "window_start", "window_date", config.writers)
-        start_all(messages, config, options.tables, alerts, live, archive, topic)
+        start_all(messages, config, options.tables, alerts, live, archive, topic, options.hours)
     else:
         database = JdbcConfig.from_env()
         decoded = decode_messages(messages)

@@ -13,8 +13,8 @@ from waymeter.schemas import INDEX, SPEED
 WINDOW_KEY = ["sensor_id", "junction_name", "window_start"]
 
 
-def congestion_windows(readings: DataFrame, rules: TrafficConfig = DEFAULTS) -> DataFrame:
-    """Mean speed, vehicle total, index and level per sensor and tumbling event-time window.
+def scored_windows(readings: DataFrame, rules: TrafficConfig = DEFAULTS) -> DataFrame:
+    """Mean speed, vehicle total and index per sensor and `span`, a tumbling event-time window.
 
     One shuffle on (sensor, junction, window) after map-side partial sums, in batch and in a stream.
     Readings without an event time fall out, as `window` requires one.
@@ -29,10 +29,14 @@ def congestion_windows(readings: DataFrame, rules: TrafficConfig = DEFAULTS) ->
         "sensor_id", "junction_name", F.window("event_time", rules.window).alias("span")
     ).agg(*measures)
     volume = F.col("volume" if rules.volume == "avg" else "total_vehicles")
-    scored = grouped.withColumn(
+    return grouped.withColumn(
         "congestion_index", congestion_index(volume, F.col("mean_speed_kmph"), rules)
     )
-    return scored.select(
+
+
+def congestion_windows(readings: DataFrame, rules: TrafficConfig = DEFAULTS) -> DataFrame:
+    """Scored windows by start and end, with their level."""
+    return scored_windows(readings, rules).select(
         "sensor_id",
         "junction_name",
         F.col("span.start").alias("window_start"),

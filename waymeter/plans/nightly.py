@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from waymeter.config import DEFAULTS, TrafficConfig
 from waymeter.functions.times import UTC
 from waymeter.operators.hourly import daily_peak_report, hourly_rollup, peak_hours, windows_of_day
+from waymeter.operators.hours import hours_of_day
 
 
 def nightly_peaks(windows: DataFrame, day: str | None = None, tz: str = UTC) -> DataFrame:
@@ -15,6 +16,11 @@ def nightly_peaks(windows: DataFrame, day: str | None = None, tz: str = UTC) ->
     return peak_hours(hourly_rollup(chosen, tz))
 
 
+def report_of_hours(hours: DataFrame, day: str | None = None, rules: TrafficConfig = DEFAULTS) -> DataFrame:
+    """The nightly answer from the hours that a stream has stored, without the windows."""
+    return daily_peak_report(peak_hours(hours if day is None else hours_of_day(hours, day)), rules)
+
+
 def nightly_report(
     windows: DataFrame, day: str | None = None, tz: str = UTC, rules: TrafficConfig = DEFAULTS
 ) -> DataFrame:

@@ -80,6 +80,19 @@ CRITICAL_ALERTS = _struct(
     ("created_at", T.TimestampType(), True),
 )
 
+# Hours as a stream closes them; `hour_slot` is the wall-clock hour of the zone they were cut in.
+HOURLY_ROLLUP = _struct(
+    ("sensor_id", T.StringType(), False),
+    ("junction_name", T.StringType(), True),
+    ("hour_start", T.TimestampType(), False),
+    ("hour_end", T.TimestampType(), False),
+    ("hour_slot", T.TimestampType(), False),
+    ("avg_speed", T.DoubleType(), True),
+    ("total_vehicles", T.LongType(), True),
+    ("avg_ci", T.DoubleType(), True),
+    ("recorded_at", T.TimestampType(), True),
+)
+
 DAILY_PEAK_REPORT = _struct(
     ("report_date", T.DateType(), False),
     ("sensor_id", T.StringType(), False),

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from waymeter.operators.ranking import first_per_group
 from waymeter.operators.windows import latest_windows
 from waymeter.schemas import (
     CONGESTION_INDEX,
     CRITICAL_ALERTS,
     DAILY_PEAK_REPORT,
+    HOURLY_ROLLUP,
     QUARANTINE,
     TRAFFIC_RAW,
 )
@@ -46,5 +49,21 @@ def read_daily_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DAILY_PEAK_REPORT).parquet(path)
 
 
+def read_hours(spark: SparkSession, path: str) -> DataFrame:
+    """The hour table of a stream, one row per hour: a new checkpoint may have written some again."""
+    fields = [("hour_date", T.DateType()), ("batch_key", T.StringType())]
+    rows = spark.read.schema(_with(HOURLY_ROLLUP, *fields)).parquet(path)
+    order = [F.col(name).desc_nulls_last() for name in ("recorded_at", "total_vehicles")]
+    return first_per_group(rows, ["sensor_id", "junction_name", "hour_slot", "hour_date"], order).drop("batch_key")
+
+
+def read_daily_peaks(spark: SparkSession, path: str) -> DataFrame:
+    """The daily table as a stream closes its days, one row per day and sensor."""
+    fields = [("batch_key", T.StringType())]
+    rows = spark.read.schema(_with(DAILY_PEAK_REPORT, *fields)).parquet(path)
+    order = [F.col("created_at").desc_nulls_last(), F.col("total_vehicles").desc_nulls_last()]
+    return first_per_group(rows, ["report_date", "sensor_id"], order).drop("batch_key")
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(QUARANTINE).parquet(path)

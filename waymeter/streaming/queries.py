@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from waymeter.config import StreamConfig
+from waymeter.functions.times import UTC
 from waymeter.operators.alerts import (
     alerts_stored,
     critical_alerts,
     with_created_at,
     with_processing_time,
 )
+from waymeter.operators.hourly import daily_peak_report
+from waymeter.operators.hours import hours_of_readings, peaks_of_readings
 from waymeter.operators.messages import bad_records, decode_messages, good_records, with_watermark
 from waymeter.operators.windows import (
     congestion_stored,
@@ -94,6 +97,23 @@ def start_live_congestion(readings: DataFrame, config: StreamConfig, sink: Batch
     return writer.foreachBatch(sink).start()
 
 
+def start_hours(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC, trigger: dict | None = None) -> StreamingQuery:
+    """Hours, once each when the watermark has passed them, to a file table by their local date."""
+    hours = hours_of_readings(with_watermark(readings, config.rules), config.rules, tz)
+    rows = _rows_counted(with_recorded_at(hours), "hour_rows")
+    writer = _writer(rows, config, "hours", "append", trigger or {"processingTime": config.rollup_trigger})
+    return writer.foreachBatch(table_sink(path, "hour_slot", "hour_date", config.writers)).start()
+
+
+def start_daily_peaks(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC,
+                      trigger: dict | None = None) -> StreamingQuery:
+    """The daily report's rows, once each when the watermark has passed their day."""
+    peaks = peaks_of_readings(with_watermark(readings, config.rules), config.rules, tz)
+    rows = _rows_counted(with_created_at(daily_peak_report(peaks, config.rules)), "peak_rows")
+    writer = _writer(rows, config, "daily-peaks", "append", trigger or {"processingTime": config.rollup_trigger})
+    return writer.foreachBatch(table_sink(path, "report_date", "report_date", config.writers)).start()
+
+
 def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, trigger: dict | None = None,
                  topic: BatchSink | None = None) -> StreamingQuery:
     """Alerts at once and without state: late readings alert too.
@@ -132,8 +152,8 @@ def start_archive(decoded: DataFrame, config: StreamConfig, folder: str,
 
 def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink: BatchSink,
               live_sink: BatchSink | None = None, archive: str | None = None,
-              topic: BatchSink | None = None) -> list[StreamingQuery]:
-    """The concurrent queries of one application over one source definition."""
+              topic: BatchSink | None = None, hours: str | None = None) -> list[StreamingQuery]:
+    """The concurrent queries of one application over one source definition; `hours` names the zone of hours and days."""
     decoded = decode_messages(messages)
     readings = decoded.drop("json_str")
     started = [
@@ -144,4 +164,9 @@ def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink
         started.append(start_live_congestion(readings, config, live_sink))
     if archive:
         started.append(start_archive(decoded, config, archive))
+    if hours:
+        started += [
+            start_hours(readings, config, f"{tables}/hourly_rollup", hours),
+            start_daily_peaks(readings, config, f"{tables}/daily_peaks", hours),
+        ]
     return started
