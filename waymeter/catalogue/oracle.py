@@ -79,6 +79,23 @@ cs AS (
 )"""
 
 
+# Batches of ten days, every twentieth reading in the last one; that batch meets the watermark of the first.
+ARRIVALS = """
+arrived AS (
+  SELECT *, CASE WHEN event_id % 20 = 0 OR event_time >= TIMESTAMP '2024-01-21' THEN 2
+                 WHEN event_time >= TIMESTAMP '2024-01-11' THEN 1 ELSE 0 END AS batch
+  FROM reading
+),
+met AS (
+  SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 2 MINUTE AS watermark FROM arrived WHERE batch = 0
+),
+told AS (
+  SELECT arrived.*, watermark,
+         batch = 2 AND coalesce(time_bucket(INTERVAL 5 MINUTE, event_time) + INTERVAL 5 MINUTE <= watermark, false) AS late
+  FROM arrived CROSS JOIN met
+)"""
+
+
 def _hr(shift: str = "INTERVAL 0 MINUTE", where: str = "true", source: str = "cw") -> str:
     return f"""
 hr AS (
@@ -370,6 +387,16 @@ WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readi
                     - INTERVAL 2 MINUTE"""),
     "stream_live": _with(READING, CW, CS, select="SELECT * FROM cs"),
     "backfill_after_stream": _with(READING, CW, CS, select="SELECT * FROM cs"),
+    "stream_late": _with(READING, ARRIVALS, select="""
+SELECT sensor_id, junction_name, event_time, vehicle_count, avg_speed, is_critical, watermark FROM told WHERE late"""),
+    "stream_parts": _with(READING.replace("reading AS (", "every AS (", 1), ARRIVALS.replace("FROM reading", "FROM every", 1), """
+reading AS (SELECT * FROM told WHERE NOT late)""", CW, CS, select="SELECT * FROM cs"),
+    "late_balance": _with(READING, ARRIVALS, select="""
+SELECT sensor_id, count(*) FILTER (NOT late) AS counted, count(*) FILTER (late) AS late, count(*) AS readings,
+       coalesce(sum(vehicle_count) FILTER (NOT late), 0)::BIGINT AS counted_vehicles,
+       coalesce(sum(vehicle_count) FILTER (late), 0)::BIGINT AS late_vehicles, sum(vehicle_count)::BIGINT AS vehicles
+FROM told GROUP BY sensor_id"""),
+    "late_amended": _with(READING, CW, CS, select="SELECT * FROM cs"),
     # An hour or a day is out when its last instant is behind the watermark.
     "stream_hourly": _with(READING, CW, HR, select=f"""
 SELECT {HOURLY_COLUMNS} FROM hr WHERE hour_slot + INTERVAL 1 HOUR <= {_closed()}"""),

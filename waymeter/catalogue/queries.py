@@ -18,9 +18,10 @@ from waymeter.operators import alerts as A
 from waymeter.operators import hourly as H
 from waymeter.operators import messages as M
 from waymeter.operators import windows as W
+from waymeter.operators.parts import window_parts, windows_of_parts
 from waymeter.plans import nightly as N
 from waymeter.plans import reports as R
-from waymeter.schemas import ALERT_MESSAGE, HOURLY_VOLUME_BY_DAY, READING_MESSAGE
+from waymeter.schemas import ALERT_MESSAGE, EVENTS, HOURLY_VOLUME_BY_DAY, READING_MESSAGE
 from waymeter.session import new_run_folder
 from waymeter.sinks.files import write_csv, write_daily_report, write_lines, write_windows
 from waymeter.sources import tables as T
@@ -28,6 +29,7 @@ from waymeter.sources.events import events_between, read_events, readings_from_e
 from waymeter.sources.replay import replay_messages
 from waymeter.streaming import queries as Q
 from waymeter.streaming.batch_sinks import table_sink
+from waymeter.streaming.late import start_split_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,6 +336,54 @@ def stream_live(spark, folder):
     return latest.drop("recorded_at", "batch_id", "window_date", "batch_key")
 
 
+def _out_of_order(spark: SparkSession, folder: str) -> str:
+    """Three batches, ten days each; every twentieth reading comes with the last. Returns the folder of the tables."""
+    config, tables = _stream_setup(spark, "late")
+    arrivals, events = new_run_folder(spark, "arrivals"), read_events(spark, folder)
+    delayed = F.col("event_id") % 20 == 0
+    first, second = (F.lit(day).cast("timestamp") for day in ("2024-01-11", "2024-01-21"))
+    batch = F.when(delayed | (F.col("ts") >= second), 2).when(F.col("ts") >= first, 1).otherwise(0)
+    spark.createDataFrame([], EVENTS).write.parquet(arrivals)
+    for number in range(3):
+        events.filter(batch == number).write.mode("append").parquet(arrivals)
+        readings = readings_from_events(spark.readStream.schema(EVENTS).parquet(arrivals))
+        start_split_windows(readings, config, tables, ONCE).awaitTermination()
+    return tables
+
+
+def stream_late(spark, folder):
+    """Readings that the watermark had passed, with the watermark they met."""
+    late = T.read_late(spark, f"{_out_of_order(spark, folder)}/late_readings")
+    return late.drop("recorded_at", "batch_id", "event_date", "batch_key")
+
+
+def stream_parts(spark, folder):
+    """Windows of the readings that came in time, added up from the batches' parts."""
+    parts = T.read_parts(spark, f"{_out_of_order(spark, folder)}/congestion_parts")
+    return W.congestion_stored(windows_of_parts(parts))
+
+
+def late_balance(spark, folder):
+    """Per sensor: readings and vehicles that were counted, that came late, and both, which is all there are."""
+    tables = _out_of_order(spark, folder)
+    counted = T.read_parts(spark, f"{tables}/congestion_parts").select("sensor_id", "readings", "total_vehicles", F.lit(0).alias("late"))
+    late = T.read_late(spark, f"{tables}/late_readings").select(
+        "sensor_id", F.lit(1).alias("readings"), F.col("vehicle_count").alias("total_vehicles"), F.lit(1).alias("late"))
+    total = lambda name, kind: F.coalesce(F.sum(F.when(F.col("late") == kind, F.col(name))), F.lit(0)).cast("bigint")
+    return counted.unionByName(late).groupBy("sensor_id").agg(
+        total("readings", 0).alias("counted"), total("readings", 1).alias("late"), F.sum("readings").alias("readings"),
+        total("total_vehicles", 0).alias("counted_vehicles"), total("total_vehicles", 1).alias("late_vehicles"),
+        F.sum("total_vehicles").alias("vehicles"))
+
+
+def late_amended(spark, folder):
+    """The same windows with the late readings added: those of all readings."""
+    tables = _out_of_order(spark, folder)
+    added = window_parts(T.read_late(spark, f"{tables}/late_readings"))
+    parts = T.read_parts(spark, f"{tables}/congestion_parts").select(*added.columns).unionByName(added)
+    return W.congestion_stored(windows_of_parts(parts))
+
+
 def stream_hourly(spark, folder):
     """Hours that the watermark has passed, each once."""
     config, path = _stream_setup(spark, "hours")
@@ -406,6 +456,6 @@ QUERIES: dict[str, Query] = {
         interventions, daily_peak_report, volume_table, peak_volume, chart_series, peak_lines,
         intervention_lines, intervention_summary, nightly_text_report, summary_text_report,
         csv_roundtrip, text_roundtrip, nightly_tables, stream_congestion, backfill_after_stream, stream_live,
-        stream_hourly, stream_hourly_local, report_from_hours, stream_daily_peaks, stream_alerts, replay_decode, replay_quarantine,
+        stream_late, stream_parts, late_balance, late_amended, stream_hourly, stream_hourly_local, report_from_hours, stream_daily_peaks, stream_alerts, replay_decode, replay_quarantine,
     )
 }

@@ -16,6 +16,7 @@ from waymeter.session import build_session
 from waymeter.sinks.upsert import ALERTS, WINDOWS, jdbc_run, prepare, upsert_sink
 from waymeter.sources.kafka import stream_messages
 from waymeter.streaming.batch_sinks import BatchSink, alert_topic_sink, jdbc_sink, table_sink
+from waymeter.streaming.late import start_split_windows
 from waymeter.streaming.queries import start_alerts, start_all, start_archive, start_congestion_sink
 
 
@@ -33,6 +34,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--append-only", action="store_true", help="append to JDBC tables without staging: at least once")
     parser.add_argument("--live", action="store_true", help="store every change of open windows too")
     parser.add_argument("--archive", help="folder of raw readings and bad messages; by default that of the tables")
+    parser.add_argument("--keep-late", action="store_true", help="windows in parts too, and readings that come too late for them in a table of their own")
     parser.add_argument("--hours", metavar="ZONE", help="close hours and daily peaks of this zone too, to the tables hourly_rollup and daily_peaks")
     parser.add_argument("--no-archive", action="store_true", help="keep neither")
     add_options(parser, StreamConfig)
@@ -40,8 +42,8 @@ def main(arguments: list[str] | None = None) -> None:
     options = parser.parse_args(arguments)
     if options.live and not options.tables:
         parser.error("--live needs --tables")
-    if options.hours and not options.tables:
-        parser.error("--hours needs --tables")
+    if (options.hours or options.keep_late) and not options.tables:
+        parser.error("--hours and --keep-late need --tables")
     archive = None if options.no_archive else options.archive or options.tables
     if archive is None and not options.no_archive:
         parser.error("without --tables name an --archive folder, or give --no-archive")
@@ -56,6 +58,8 @@ def main(arguments: list[str] | None = None) -> None:
         if options.live:
             live = table_sink(f"{options.tables}/congestion_live", "window_start", "window_date", config.writers)
         start_all(messages, config, options.tables, alerts, live, archive, topic, options.hours)
+        if options.keep_late:
+            start_split_windows(decode_messages(messages).drop("json_str"), config, options.tables)
     else:
         database = JdbcConfig.from_env()
         decoded = decode_messages(messages)

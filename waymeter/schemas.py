@@ -48,6 +48,32 @@ TRAFFIC_RAW = _struct(
     ("ingested_at", T.TimestampType(), True),
 )
 
+# What one batch of readings adds to a window.
+CONGESTION_PARTS = _struct(
+    ("sensor_id", T.StringType(), False),
+    ("junction_name", T.StringType(), True),
+    ("window_start", T.TimestampType(), False),
+    ("window_end", T.TimestampType(), False),
+    ("speed_sum", T.DoubleType(), True),
+    ("speeds", T.LongType(), True),
+    ("total_vehicles", T.LongType(), True),
+    ("counts", T.LongType(), True),
+    ("readings", T.LongType(), True),
+    ("recorded_at", T.TimestampType(), True),
+)
+
+# Readings whose window had ended by the watermark they met.
+LATE_READINGS = _struct(
+    ("sensor_id", T.StringType(), False),
+    ("junction_name", T.StringType(), True),
+    ("event_time", T.TimestampType(), False),
+    ("vehicle_count", T.IntegerType(), True),
+    ("avg_speed", T.DoubleType(), True),
+    ("is_critical", T.BooleanType(), True),
+    ("watermark", T.TimestampType(), True),
+    ("recorded_at", T.TimestampType(), True),
+)
+
 # Messages no window can count, with their raw text.
 QUARANTINE = _struct(
     ("json_str", T.StringType(), True),

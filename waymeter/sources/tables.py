@@ -10,9 +10,11 @@ from waymeter.operators.ranking import first_per_group
 from waymeter.operators.windows import latest_windows
 from waymeter.schemas import (
     CONGESTION_INDEX,
+    CONGESTION_PARTS,
     CRITICAL_ALERTS,
     DAILY_PEAK_REPORT,
     HOURLY_ROLLUP,
+    LATE_READINGS,
     QUARANTINE,
     TRAFFIC_RAW,
 )
@@ -49,6 +51,17 @@ def read_daily_report(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(DAILY_PEAK_REPORT).parquet(path)
 
 
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """Every part of every window; `windows_of_parts` adds them up."""
+    fields = [("batch_id", T.LongType()), ("window_date", T.DateType()), ("batch_key", T.StringType())]
+    return spark.read.schema(_with(CONGESTION_PARTS, *fields)).parquet(path)
+
+
+def read_late(spark: SparkSession, path: str) -> DataFrame:
+    fields = [("batch_id", T.LongType()), ("event_date", T.DateType()), ("batch_key", T.StringType())]
+    return spark.read.schema(_with(LATE_READINGS, *fields)).parquet(path)
+
+
 def read_hours(spark: SparkSession, path: str) -> DataFrame:
     """The hour table of a stream, one row per hour: a new checkpoint may have written some again."""
     fields = [("hour_date", T.DateType()), ("batch_key", T.StringType())]

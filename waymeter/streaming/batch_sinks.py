@@ -15,7 +15,8 @@ from waymeter.sinks.kafka import publish
 
 BatchSink = Callable[[DataFrame, int], None]
 
-def _query_id(batch: DataFrame) -> str:
+
+def query_id(batch: DataFrame) -> str:
     """Id of the running query: kept by its checkpoint, new with a new checkpoint."""
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
 
@@ -42,7 +43,7 @@ def table_sink(path: str, time_column: str, date_column: str, writers: int | Non
         keyed = (
             batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .withColumn(date_column, F.to_date(time_column))
-            .withColumn("batch_key", F.lit(f"{_query_id(batch)}-{batch_id:012d}"))
+            .withColumn("batch_key", F.lit(f"{query_id(batch)}-{batch_id:012d}"))
         )
         (
             spread(keyed, [*keys, time_column], writers).write.mode("overwrite")

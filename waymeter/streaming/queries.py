@@ -35,7 +35,7 @@ def checkpoint_path(spark: SparkSession, config: StreamConfig, name: str) -> str
     return f"{base.rstrip('/')}/{name}"
 
 
-def _writer(rows: DataFrame, config: StreamConfig, name: str, mode: str,
+def writer(rows: DataFrame, config: StreamConfig, name: str, mode: str,
             trigger: dict[str, object]) -> DataStreamWriter:
     return (
         rows.writeStream.queryName(name)
@@ -66,7 +66,7 @@ def stored_alert_sink(sink: BatchSink) -> BatchSink:
 
 
 def _congestion_writer(rows: DataFrame, config: StreamConfig, trigger: dict | None) -> DataStreamWriter:
-    return _writer(rows, config, "congestion", "append",
+    return writer(rows, config, "congestion", "append",
                    trigger or {"processingTime": config.congestion_trigger})
 
 
@@ -92,17 +92,17 @@ def start_live_congestion(readings: DataFrame, config: StreamConfig, sink: Batch
                           trigger: dict | None = None) -> StreamingQuery:
     """Every change of every open window (update mode); read through `latest_windows`."""
     rows = _rows_counted(stored_windows(readings, config), "live_rows")
-    writer = _writer(rows, config, "congestion-live", "update",
+    made = writer(rows, config, "congestion-live", "update",
                      trigger or {"processingTime": config.congestion_trigger})
-    return writer.foreachBatch(sink).start()
+    return made.foreachBatch(sink).start()
 
 
 def start_hours(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC, trigger: dict | None = None) -> StreamingQuery:
     """Hours, once each when the watermark has passed them, to a file table by their local date."""
     hours = hours_of_readings(with_watermark(readings, config.rules), config.rules, tz)
     rows = _rows_counted(with_recorded_at(hours), "hour_rows")
-    writer = _writer(rows, config, "hours", "append", trigger or {"processingTime": config.rollup_trigger})
-    return writer.foreachBatch(table_sink(path, "hour_slot", "hour_date", config.writers)).start()
+    made = writer(rows, config, "hours", "append", trigger or {"processingTime": config.rollup_trigger})
+    return made.foreachBatch(table_sink(path, "hour_slot", "hour_date", config.writers)).start()
 
 
 def start_daily_peaks(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC,
@@ -110,8 +110,8 @@ def start_daily_peaks(readings: DataFrame, config: StreamConfig, path: str, tz:
     """The daily report's rows, once each when the watermark has passed their day."""
     peaks = peaks_of_readings(with_watermark(readings, config.rules), config.rules, tz)
     rows = _rows_counted(with_created_at(daily_peak_report(peaks, config.rules)), "peak_rows")
-    writer = _writer(rows, config, "daily-peaks", "append", trigger or {"processingTime": config.rollup_trigger})
-    return writer.foreachBatch(table_sink(path, "report_date", "report_date", config.writers)).start()
+    made = writer(rows, config, "daily-peaks", "append", trigger or {"processingTime": config.rollup_trigger})
+    return made.foreachBatch(table_sink(path, "report_date", "report_date", config.writers)).start()
 
 
 def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, trigger: dict | None = None,
@@ -122,9 +122,9 @@ def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, tri
     """
     rows = _rows_counted(alert_rows(readings, config), "alert_rows")
     sink = fan_out(stored_alert_sink(sink), *([topic] if topic else []))
-    writer = _writer(rows, config, "critical", "append",
+    made = writer(rows, config, "critical", "append",
                      trigger or {"processingTime": config.critical_trigger})
-    return writer.foreachBatch(sink).start()
+    return made.foreachBatch(sink).start()
 
 
 def raw_rows(decoded: DataFrame) -> DataFrame:
@@ -146,8 +146,8 @@ def start_archive(decoded: DataFrame, config: StreamConfig, folder: str,
     raw = table_sink(f"{folder}/traffic_raw", "event_time", "event_date", config.writers)
     bad = table_sink(f"{folder}/quarantine", "kafka_ts", "arrival_date", config.writers, ("json_str",))
     sink = fan_out(lambda batch, batch_id: raw(raw_rows(batch), batch_id), lambda batch, batch_id: bad(bad_records(batch), batch_id))
-    writer = _writer(decoded, config, "archive", "append", trigger or {"processingTime": config.archive_trigger})
-    return writer.foreachBatch(sink).start()
+    made = writer(decoded, config, "archive", "append", trigger or {"processingTime": config.archive_trigger})
+    return made.foreachBatch(sink).start()
 
 
 def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink: BatchSink,
