@@ -70,6 +70,8 @@ class StreamConfig:
     rollup_trigger: str = "5 minutes"
     # Each trigger leaves a file per topic partition; nothing waits for the archive.
     archive_trigger: str = "10 minutes"
+    # Each query runs in the scheduler pool of this prefix and its name.
+    pool_prefix: str = "traffic-"
     # Checkpoint root; None means the shared folder the session names.
     checkpoint_base: str | None = None
     # Tasks that write one batch to a file table; None takes the number of shuffle partitions.

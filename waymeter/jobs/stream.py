@@ -12,7 +12,7 @@ from pyspark.sql import SparkSession
 
 from waymeter.config import JdbcConfig, StreamConfig, TrafficConfig, add_options, given
 from waymeter.operators.messages import decode_messages
-from waymeter.session import build_session
+from waymeter.session import STREAM_SETTINGS, build_session
 from waymeter.sinks.upsert import ALERTS, WINDOWS, jdbc_run, prepare, upsert_sink
 from waymeter.sources.kafka import stream_messages
 from waymeter.streaming.batch_sinks import BatchSink, alert_topic_sink, jdbc_sink, table_sink
@@ -49,7 +49,7 @@ def main(arguments: list[str] | None = None) -> None:
         parser.error("without --tables name an --archive folder, or give --no-archive")
 
     config = StreamConfig.from_env(rules=TrafficConfig(**given(options, TrafficConfig)), **given(options, StreamConfig))
-    spark = build_session("traffic-stream")
+    spark = build_session("traffic-stream", STREAM_SETTINGS)
     messages = stream_messages(spark, config)
     topic = alert_topic_sink(config)
     if options.tables:

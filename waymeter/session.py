@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+POOL = "spark.scheduler.pool"
+
 # Timestamps are instants; every truncation and text form is defined in UTC unless a zone is given.
 # Stateful streams keep the plain spark.sql.shuffle.partitions, which their checkpoint fixes at the first start.
 SETTINGS = {
@@ -21,6 +25,10 @@ SETTINGS = {
 }
 
 
+# Of the streaming application: its queries share the executors by pool, so a short batch of one query does not wait
+# behind the tasks of another's long one. `spark.scheduler.allocation.file` may give pools weights and least shares.
+STREAM_SETTINGS = {"spark.scheduler.mode": "FAIR"}
+
 # Of the applications: batch shuffles start from many partitions, which AQE merges to the size of the data.
 JOB_SETTINGS = {"spark.sql.adaptive.coalescePartitions.initialPartitionNum": "2000"}
 
@@ -33,6 +41,18 @@ def build_session(app_name: str, settings: dict[str, str] | None = None) -> Spar
     return builder.getOrCreate()
 
 
+@contextmanager
+def scheduler_pool(spark: SparkSession, name: str) -> Iterator[None]:
+    """Jobs started here run in the pool `name`; a stream started here runs in it for good."""
+    context = spark.sparkContext
+    before = context.getLocalProperty(POOL)
+    context.setLocalProperty(POOL, name)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(POOL, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder of `spark.checkpoint.dir`; a temporary one only in local mode, where it is unset."""
     named = spark.conf.get("spark.checkpoint.dir", None)

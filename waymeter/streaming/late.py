@@ -22,7 +22,7 @@ from waymeter.operators.messages import good_records
 from waymeter.operators.parts import split_late, window_parts
 from waymeter.operators.windows import with_recorded_at
 from waymeter.streaming.batch_sinks import BatchSink, query_id, table_sink
-from waymeter.streaming.queries import writer
+from waymeter.streaming.queries import started, writer
 
 #: Files of the ledger per query: those of the last batches, each taking the place of the one this many before it.
 SLOTS = 4
@@ -86,4 +86,4 @@ def start_split_windows(readings: DataFrame, config: StreamConfig, tables: str,
         "sensor_id", "junction_name", "event_time", "vehicle_count", "avg_speed",
         F.coalesce(F.col("is_critical"), F.lit(False)).alias("is_critical"))
     made = writer(rows, config, "window-parts", "append", trigger or {"processingTime": config.congestion_trigger})
-    return made.foreachBatch(split_sink(config, tables)).start()
+    return started(made, rows, config, "window-parts", split_sink(config, tables))

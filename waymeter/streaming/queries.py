@@ -25,7 +25,7 @@ from waymeter.operators.windows import (
     congestion_windows,
     with_recorded_at,
 )
-from waymeter.session import shared_folder
+from waymeter.session import scheduler_pool, shared_folder
 from waymeter.streaming.batch_sinks import BatchSink, fan_out, table_sink
 
 
@@ -50,6 +50,12 @@ def _rows_counted(rows: DataFrame, name: str) -> DataFrame:
     return rows.observe(name, F.count(F.lit(1)).alias("rows"))
 
 
+def started(made: DataStreamWriter, rows: DataFrame, config: StreamConfig, name: str, sink: BatchSink) -> StreamingQuery:
+    """The query at work, in the scheduler pool of its name."""
+    with scheduler_pool(rows.sparkSession, config.pool_prefix + name):
+        return made.foreachBatch(sink).start()
+
+
 def stored_windows(readings: DataFrame, config: StreamConfig) -> DataFrame:
     windows = congestion_windows(with_watermark(readings, config.rules), config.rules)
     return with_recorded_at(congestion_stored(windows))
@@ -85,7 +91,7 @@ def start_congestion_sink(readings: DataFrame, config: StreamConfig, sink: Batch
                           trigger: dict | None = None) -> StreamingQuery:
     """Final windows to any batch sink, such as a JDBC table."""
     rows = _rows_counted(stored_windows(readings, config), "congestion_rows")
-    return _congestion_writer(rows, config, trigger).foreachBatch(sink).start()
+    return started(_congestion_writer(rows, config, trigger), rows, config, "congestion", sink)
 
 
 def start_live_congestion(readings: DataFrame, config: StreamConfig, sink: BatchSink,
@@ -94,7 +100,7 @@ def start_live_congestion(readings: DataFrame, config: StreamConfig, sink: Batch
     rows = _rows_counted(stored_windows(readings, config), "live_rows")
     made = writer(rows, config, "congestion-live", "update",
                      trigger or {"processingTime": config.congestion_trigger})
-    return made.foreachBatch(sink).start()
+    return started(made, rows, config, "congestion-live", sink)
 
 
 def start_hours(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC, trigger: dict | None = None) -> StreamingQuery:
@@ -102,7 +108,7 @@ def start_hours(readings: DataFrame, config: StreamConfig, path: str, tz: str =
     hours = hours_of_readings(with_watermark(readings, config.rules), config.rules, tz)
     rows = _rows_counted(with_recorded_at(hours), "hour_rows")
     made = writer(rows, config, "hours", "append", trigger or {"processingTime": config.rollup_trigger})
-    return made.foreachBatch(table_sink(path, "hour_slot", "hour_date", config.writers)).start()
+    return started(made, rows, config, "hours", table_sink(path, "hour_slot", "hour_date", config.writers))
 
 
 def start_daily_peaks(readings: DataFrame, config: StreamConfig, path: str, tz: str = UTC,
@@ -111,7 +117,7 @@ def start_daily_peaks(readings: DataFrame, config: StreamConfig, path: str, tz:
     peaks = peaks_of_readings(with_watermark(readings, config.rules), config.rules, tz)
     rows = _rows_counted(with_created_at(daily_peak_report(peaks, config.rules)), "peak_rows")
     made = writer(rows, config, "daily-peaks", "append", trigger or {"processingTime": config.rollup_trigger})
-    return made.foreachBatch(table_sink(path, "report_date", "report_date", config.writers)).start()
+    return started(made, rows, config, "daily-peaks", table_sink(path, "report_date", "report_date", config.writers))
 
 
 def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, trigger: dict | None = None,
@@ -124,7 +130,7 @@ def start_alerts(readings: DataFrame, config: StreamConfig, sink: BatchSink, tri
     sink = fan_out(stored_alert_sink(sink), *([topic] if topic else []))
     made = writer(rows, config, "critical", "append",
                      trigger or {"processingTime": config.critical_trigger})
-    return made.foreachBatch(sink).start()
+    return started(made, rows, config, "critical", sink)
 
 
 def raw_rows(decoded: DataFrame) -> DataFrame:
@@ -147,7 +153,7 @@ def start_archive(decoded: DataFrame, config: StreamConfig, folder: str,
     bad = table_sink(f"{folder}/quarantine", "kafka_ts", "arrival_date", config.writers, ("json_str",))
     sink = fan_out(lambda batch, batch_id: raw(raw_rows(batch), batch_id), lambda batch, batch_id: bad(bad_records(batch), batch_id))
     made = writer(decoded, config, "archive", "append", trigger or {"processingTime": config.archive_trigger})
-    return made.foreachBatch(sink).start()
+    return started(made, decoded, config, "archive", sink)
 
 
 def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink: BatchSink,
@@ -156,17 +162,17 @@ def start_all(messages: DataFrame, config: StreamConfig, tables: str, alert_sink
     """The concurrent queries of one application over one source definition; `hours` names the zone of hours and days."""
     decoded = decode_messages(messages)
     readings = decoded.drop("json_str")
-    started = [
+    queries = [
         start_congestion_table(readings, config, f"{tables}/congestion_index"),
         start_alerts(readings, config, alert_sink, topic=topic),
     ]
     if live_sink is not None:
-        started.append(start_live_congestion(readings, config, live_sink))
+        queries.append(start_live_congestion(readings, config, live_sink))
     if archive:
-        started.append(start_archive(decoded, config, archive))
+        queries.append(start_archive(decoded, config, archive))
     if hours:
-        started += [
+        queries += [
             start_hours(readings, config, f"{tables}/hourly_rollup", hours),
             start_daily_peaks(readings, config, f"{tables}/daily_peaks", hours),
         ]
-    return started
+    return queries
