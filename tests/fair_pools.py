@@ -31,8 +31,8 @@ def main(folder: str, mode: str) -> None:
 
     def long_batch(batch, batch_id):
         batch.write.format("noop").mode("overwrite").save()
-        # Forty tasks of half a second on two cores.
-        batch.sparkSession.range(0, 40, 1, 40).select(slow("id")).write.format("noop").mode("overwrite").save()
+        # Two dozen tasks of half a second on two cores.
+        batch.sparkSession.range(0, 24, 1, 24).select(slow("id")).write.format("noop").mode("overwrite").save()
         ends["congestion"] = time.time()
 
     def alerts(batch, batch_id):
@@ -40,7 +40,7 @@ def main(folder: str, mode: str) -> None:
         ends["critical"] = time.time()
 
     windows = Q.start_congestion_sink(readings(spark, topic), config, long_batch, ONCE)
-    while not any(spark.sparkContext.statusTracker().getStageInfo(s) and spark.sparkContext.statusTracker().getStageInfo(s).numTasks == 40
+    while not any(spark.sparkContext.statusTracker().getStageInfo(s) and spark.sparkContext.statusTracker().getStageInfo(s).numTasks == 24
                   for s in spark.sparkContext.statusTracker().getActiveStageIds()):
         time.sleep(0.05)
     begun = time.time()

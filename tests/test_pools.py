@@ -46,7 +46,7 @@ def test_the_caller_s_pool_comes_back(spark):
 
 
 def test_alerts_do_not_wait_for_a_long_window_batch(tmp_path):
-    """Of ten seconds' work on all cores, begun before: alerts wait for the rest of it in one pool, not in two."""
+    """Of six seconds' work on all cores, begun before: alerts wait for the rest of it in one pool, not in two."""
     script, waited = Path(__file__).with_name("fair_pools.py"), {}
     for mode in ("fair", "fifo"):
         (tmp_path / mode).mkdir()

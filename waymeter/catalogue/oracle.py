@@ -387,6 +387,12 @@ WHERE window_end <= date_trunc('millisecond', (SELECT max(event_time) FROM readi
                     - INTERVAL 2 MINUTE"""),
     "stream_live": _with(READING, CW, CS, select="SELECT * FROM cs"),
     "backfill_after_stream": _with(READING, CW, CS, select="SELECT * FROM cs"),
+    "stream_open": _with(READING, CW, CS, select="SELECT * FROM cs"),
+    "batch_counts": _with(READING, CW, CS, select=f"""
+SELECT 'congestion' AS query, 'congestion_rows' AS metric, count(*) AS rows FROM cs WHERE window_end <= {_closed()}
+UNION ALL SELECT 'critical', 'alert_rows', count(*) FROM reading WHERE avg_speed < 10"""),
+    "backfill_messages": _with(READING, CW, CS, select=f"""
+SELECT * FROM cs WHERE window_end <= {_closed()} OR window_start >= DATE '2024-01-29'"""),
     "stream_late": _with(READING, ARRIVALS, select="""
 SELECT sensor_id, junction_name, event_time, vehicle_count, avg_speed, is_critical, watermark FROM told WHERE late"""),
     "stream_parts": _with(READING.replace("reading AS (", "every AS (", 1), ARRIVALS.replace("FROM reading", "FROM every", 1), """

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from waymeter.config import StreamConfig
 from waymeter.functions.congestion import STABLE_DIGITS
 from waymeter.functions.text import ISO_UTC
+from waymeter.jobs import backfill as B
 from waymeter.operators import alerts as A
 from waymeter.operators import hourly as H
 from waymeter.operators import messages as M
@@ -27,8 +28,10 @@ from waymeter.sinks.files import write_csv, write_daily_report, write_lines, wri
 from waymeter.sources import tables as T
 from waymeter.sources.events import events_between, read_events, readings_from_events, stream_events
 from waymeter.sources.replay import replay_messages
+from waymeter.sources.state import current_windows
 from waymeter.streaming import queries as Q
 from waymeter.streaming.batch_sinks import table_sink
+from waymeter.streaming.counts import BatchCounts, read_batch_counts
 from waymeter.streaming.late import start_split_windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -336,6 +339,42 @@ def stream_live(spark, folder):
     return latest.drop("recorded_at", "batch_id", "window_date", "batch_key")
 
 
+def stream_open(spark, folder):
+    """Every window, final or open, of the stream of final windows: what is open comes out of its state."""
+    config, path = _stream_setup(spark, "open")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_congestion_table(readings, config, path, ONCE).awaitTermination()
+    return current_windows(spark, path, Q.checkpoint_path(spark, config, "congestion"))
+
+
+def batch_counts(spark, folder):
+    """Rows that each query's batches gave, from the stored counts."""
+    config, path = _stream_setup(spark, "counts")
+    readings = readings_from_events(stream_events(spark, folder))
+    counts = BatchCounts(spark, f"{path}-counts")
+    spark.streams.addListener(counts)
+    try:
+        for query in (
+            Q.start_congestion_table(readings, config, path, ONCE),
+            Q.start_alerts(readings, config, table_sink(f"{path}-alerts", "alert_time", "alert_date"), ONCE),
+        ):
+            query.awaitTermination()
+            counts.wait(query)
+    finally:
+        spark.streams.removeListener(counts)
+    return read_batch_counts(spark, f"{path}-counts").groupBy("query", "metric").agg(F.sum("rows").alias("rows"))
+
+
+def backfill_messages(spark, folder):
+    """The window table rebuilt for two dates from messages, as a topic holds them; other dates stay as streamed."""
+    config, path = _stream_setup(spark, "from-topic")
+    readings = readings_from_events(stream_events(spark, folder))
+    Q.start_congestion_table(readings, config, f"{path}/congestion_index", ONCE).awaitTermination()
+    messages = _as_messages(M.encode_readings(_readings(spark, folder)))
+    B.backfill_messages(messages, path, ["2024-01-29", "2024-01-30"])
+    return T.read_windows(spark, f"{path}/congestion_index").drop("recorded_at", "window_date")
+
+
 def _out_of_order(spark: SparkSession, folder: str) -> str:
     """Three batches, ten days each; every twentieth reading comes with the last. Returns the folder of the tables."""
     config, tables = _stream_setup(spark, "late")
@@ -456,6 +495,6 @@ QUERIES: dict[str, Query] = {
         interventions, daily_peak_report, volume_table, peak_volume, chart_series, peak_lines,
         intervention_lines, intervention_summary, nightly_text_report, summary_text_report,
         csv_roundtrip, text_roundtrip, nightly_tables, stream_congestion, backfill_after_stream, stream_live,
-        stream_late, stream_parts, late_balance, late_amended, stream_hourly, stream_hourly_local, report_from_hours, stream_daily_peaks, stream_alerts, replay_decode, replay_quarantine,
+        stream_open, batch_counts, backfill_messages, stream_late, stream_parts, late_balance, late_amended, stream_hourly, stream_hourly_local, report_from_hours, stream_daily_peaks, stream_alerts, replay_decode, replay_quarantine,
     )
 }

@@ -29,7 +29,7 @@ from waymeter.plans.reports import (
 from waymeter.schemas import HOURLY_VOLUME
 from waymeter.session import build_session
 from waymeter.sinks.files import write_csv, write_daily_report, write_lines
-from waymeter.sources.jdbc import read_table
+from waymeter.sources.jdbc import read_by_quantiles, read_table
 from waymeter.sources.tables import read_alerts, read_daily_report, read_hours, read_windows
 
 
@@ -85,6 +85,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--tables", required=True, help="folder of the file tables")
     parser.add_argument("--reports", required=True, help="folder of the reports")
     parser.add_argument("--jdbc", action="store_true", help="read windows and alerts over JDBC")
+    parser.add_argument("--cut-by-counts", action="store_true", help="with --jdbc: connections of even numbers of windows, not of even times")
     parser.add_argument("--from-hours", action="store_true", help="take the hours that the stream has closed in this zone, not the windows")
     add_options(parser, TrafficConfig)
     options = parser.parse_args(arguments)
@@ -98,9 +99,12 @@ def main(arguments: list[str] | None = None) -> None:
         ]).first()
         strides = {"lower": lower, "upper": upper}
         # Rows are appended at least once there, so a window may have several.
-        windows = latest_windows(
-            read_table(spark, database, "congestion_index", column="window_start", **strides)
-        )
+        if options.cut_by_counts:
+            windows = read_by_quantiles(spark, database, "congestion_index", "window_start", "sensor_id",
+                                        f"window_start >= '{lower}' AND window_start < '{upper}'")
+        else:
+            windows = read_table(spark, database, "congestion_index", column="window_start", **strides)
+        windows = latest_windows(windows)
         alerts = read_table(spark, database, "critical_alerts", column="alert_time", **strides).dropDuplicates(
             ["sensor_id", "junction_name", "alert_time", "avg_speed", "vehicle_count"])
     else:

@@ -16,6 +16,7 @@ from waymeter.session import STREAM_SETTINGS, build_session
 from waymeter.sinks.upsert import ALERTS, WINDOWS, jdbc_run, prepare, upsert_sink
 from waymeter.sources.kafka import stream_messages
 from waymeter.streaming.batch_sinks import BatchSink, alert_topic_sink, jdbc_sink, table_sink
+from waymeter.streaming.counts import BatchCounts
 from waymeter.streaming.late import start_split_windows
 from waymeter.streaming.queries import start_alerts, start_all, start_archive, start_congestion_sink
 
@@ -50,6 +51,8 @@ def main(arguments: list[str] | None = None) -> None:
 
     config = StreamConfig.from_env(rules=TrafficConfig(**given(options, TrafficConfig)), **given(options, StreamConfig))
     spark = build_session("traffic-stream", STREAM_SETTINGS)
+    if options.tables:
+        spark.streams.addListener(BatchCounts(spark, f"{options.tables}/batch_counts", every=20))
     messages = stream_messages(spark, config)
     topic = alert_topic_sink(config)
     if options.tables:

@@ -48,6 +48,19 @@ TRAFFIC_RAW = _struct(
     ("ingested_at", T.TimestampType(), True),
 )
 
+# What a batch of a query gave, read and dropped.
+BATCH_COUNTS = _struct(
+    ("query", T.StringType(), True),
+    ("query_id", T.StringType(), False),
+    ("run_id", T.StringType(), False),
+    ("batch_id", T.LongType(), False),
+    ("metric", T.StringType(), False),
+    ("rows", T.LongType(), True),
+    ("input_rows", T.LongType(), True),
+    ("dropped_rows", T.LongType(), True),
+    ("at", T.TimestampType(), True),
+)
+
 # What one batch of readings adds to a window.
 CONGESTION_PARTS = _struct(
     ("sensor_id", T.StringType(), False),
