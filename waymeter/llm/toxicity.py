@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeter.llm.shared import slices, worker_state, written
+from waymeter.llm.words import mixed, word_hashes
 
 #: Labelled rows that lexicon and weights are fitted on, at most; chosen by a hash of the id.
 LABELLED = 16_384
@@ -31,6 +32,8 @@ EDITS, EDIT_LENGTH = 1, 5
 WINDOW = 20
 #: Words that a worker remembers, and terms that a task counts before it sends them on.
 ENTRIES = 100_000
+#: Copies: pairs of least hashes by which they are found, and the share of common windows from which a text is one.
+BANDS, COPY = 6, 0.5
 END = "$"
 WORD = re.compile(r"[^\W\d_]+")
 SPAN = re.compile(r"(?P<word>[^\W\d_]+)|(?P<open>[“«„])|(?P<close>[”»])|(?P<both>\")|(?P<line>\n)")
@@ -193,29 +196,74 @@ def _known(model: Model) -> _Known:
     return held
 
 
+def _least_hashes(marked: DataFrame, count: int) -> DataFrame:
+    """The `count` rows of distinct doc_ids whose hashes are least. Of many rows those below a bound that leaves some
+    more are ordered (fewer than `count` below it have odds of 1 to 10**9 and more), so that no task sorts what each of
+    the others would send it."""
+    total, span = marked.count(), 1 << 30
+    if total > 2 * count:
+        marked = marked.where(F.pmod(F.xxhash64("doc_id"), F.lit(span)) < int((1.2 * count + 6 * count**0.5 + 50) / total * span))
+    return marked.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(span)), "doc_id").limit(count)
+
+
+def _sketched(rows: DataFrame) -> DataFrame:
+    """Adds `windows`, the distinct hashes of a text's windows of three words, and `bands`, pairs of least values of
+    them under different hashes."""
+    seeds, names = mixed(np.arange(1, 2 * BANDS + 1, dtype=np.uint64)), rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets, bands = [], []
+            for body in batch.column(names.index("body")).to_pylist():
+                words, _ = word_hashes([body])
+                if words.size < 3:
+                    words = np.r_[words, np.zeros(3 - words.size, np.uint64)]
+                found = np.unique(mixed(words[:-2] ^ mixed(words[1:-1] ^ mixed(words[2:]))))
+                least = np.array([mixed(found ^ s).min() for s in seeds])
+                sets.append(found.view(np.int64))
+                bands.append(mixed(least[::2] ^ mixed(least[1::2])).view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(sets, pa.list_(pa.int64())), pa.array(bands, pa.list_(pa.int64()))],
+                [*names, "windows", "bands"])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField("windows", T.ArrayType(T.LongType())),
+                                              T.StructField("bands", T.ArrayType(T.LongType()))]))
+
+
+def distinct_texts(rows: DataFrame) -> DataFrame:
+    """Of rows (id, toxic, body, weighs) one for every text and label, without near copies of a text of that label.
+
+    A row goes if it shares COPY of its windows of three words, or more, with the first row of one of its bands; a
+    shared phrase alone drops nothing. First is the least hash of id and text, so the answer is the same however the
+    rows are dealt. The rows are those that LABELLED bounds.
+    """
+    first = F.min(F.struct(F.xxhash64("id", "body").alias("place"), "id", "weighs")).alias("first")
+    rows = rows.groupBy("toxic", "body").agg(first).select("first.place", "first.id", "toxic", "body", "first.weighs")
+    rows = written(_sketched(rows), "sketched")
+    banded = rows.select("toxic", "place", "id", "windows", F.posexplode("bands").alias("number", "band"))
+    heads = banded.groupBy("toxic", "number", "band").agg(F.min_by("windows", F.struct("place", "id")).alias("head"),
+                                                          F.min(F.struct("place", "id")).alias("of"), F.count("*").alias("n"))
+    shared = F.size(F.array_intersect("windows", "head")) / F.size(F.array_union("windows", "head"))
+    copies = banded.join(heads.where("n > 1"), ["toxic", "number", "band"]).where(
+        (F.struct("place", "id") != F.col("of")) & (shared >= COPY)).select("toxic", "place", "id").distinct()
+    return rows.join(copies, ["toxic", "place", "id"], "left_anti").drop("windows", "bands")
+
+
 def train(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
     """From the texts of labelled rows of `training` (a condition on doc_id of `labels`).
 
     At most LABELLED labels are used, so what is broadcast (they) and collected (terms with a share of those
-    texts, features of the texts) is bounded. A doc_id with several labels is toxic if one says so; null labels
+    texts, features of the texts) is bounded. Of copies among their texts one is used, see `distinct_texts`. A doc_id with several labels is toxic if one says so; null labels
     do not count. Without both kinds of text nothing is learnt and every score is 0.
     """
     marked = labels.where(training & F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.max("toxic") > 0).cast("int").alias("toxic"))
-    some = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED)
+    some = _least_hashes(marked, LABELLED)
     texts = docs.select(F.col("doc_id").alias("id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("body"))
     rows = texts.join(F.broadcast(some.withColumnRenamed("doc_id", "id")), "id").select(
-        "toxic", "body", (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(3)) == 0).alias("weighs"))
-    # Copies of a toxic text would make terms of all its words: of the texts that agree in the least hash of their
-    # windows of three words, for one of two hashes, one is read. Near copies agree so, other texts do not.
-    rows = rows.withColumn("words", F.split(F.lower("body"), r"\s+"))
-    word = lambda k: F.coalesce(F.get("words", k), F.lit(""))
-    least = lambda seed: F.array_min(F.transform(
-        F.sequence(F.lit(0), F.greatest(F.size("words") - 3, F.lit(0))), lambda k: F.xxhash64(word(k), word(k + 1), word(k + 2), F.lit(seed))))
-    rows = rows.withColumns({f"least{seed}": least(seed) for seed in (1, 2)})
-    for seed in (1, 2):
-        rows = rows.dropDuplicates(["toxic", f"least{seed}"])
-    rows = rows.select("toxic", "body", "weighs")
+        "id", "toxic", "body", (F.pmod(F.xxhash64(F.lit("part"), "id"), F.lit(3)) == 0).alias("weighs"))
+    # Copies of a toxic text would make terms of all its words.
+    rows = distinct_texts(rows).select("toxic", "body", "weighs")
     rows = written(rows, "labelled")
     sizes = {(r.weighs, r.toxic): r["count"] for r in rows.groupBy("weighs", "toxic").count().collect()}
     toxic, clean = sizes.get((False, 1), 0), sizes.get((False, 0), 0)
@@ -248,6 +296,8 @@ def train(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
     terms = chosen([(r.term, r.toxic, r.clean) for r in found], toxic, clean)
     held = Model(terms, ())
     table = _scores(rows.where("weighs").select(F.col("toxic"), "body"), held, "toxic").collect()
+    # In one order, so that sums of doubles do not hang on the order of tasks.
+    table.sort(key=lambda r: (r.toxic, r.features))
     y = np.array([r.toxic for r in table], float)
     if not len(y) or y.min() == y.max():
         return Model({}, (0.0,) * FEATURES + (-30.0,))
