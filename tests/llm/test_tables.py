@@ -158,6 +158,29 @@ def test_a_file_holds_pieces_of_one_length(spark):
     assert sorted(map(str, found.collect())) == sorted(map(str, flat.collect()))
 
 
+def test_a_bucket_read_back_is_decoded(spark, tmp_path):
+    """The written pieces alone, in order of their starts, give every document's ids and with them its text."""
+    rows = pq.read_table(f"{FOLDER}/documents.parquet").to_pydict()
+    texts = dict(zip(rows["doc_id"], rows["text"]))
+    packed = packing.pieces(spark.read.parquet(f"{FOLDER}/documents.parquet"), public_tokenizers.path(WORD_BPE))
+    packing.write_buckets(packed, str(tmp_path / "buckets"))
+    library, found = Tokenizer.from_file(public_tokenizers.path(WORD_BPE)), {}
+    for bucket in sorted((tmp_path / "buckets").glob("bucket=*")):
+        length = 1 << int(bucket.name.removeprefix("bucket="))
+        for r in pq.read_table(bucket).to_pylist():
+            ids = np.frombuffer(r["ids"], "<u4").tolist()
+            assert len(ids) == r["length"] == length and zlib.crc32(r["ids"]) == r["ids_crc32"]
+            found.setdefault(r["doc_id"], {})[r["start"]] = ids
+    assert found.keys() == texts.keys()
+    for i, parts in found.items():
+        ids = [x for start in sorted(parts) for x in parts[start]]
+        assert ids[-1] == packing.END_ID and sorted(parts)[0] == 0
+        assert ids[:-1] == library.encode(texts[i] or "", add_special_tokens=False).ids
+        if (texts[i] or "").isascii():  # this vocabulary ends words with a mark, lowers them and drops white space
+            back = library.decode(ids[:-1], skip_special_tokens=False).replace("</w>", "").replace(" ", "")
+            assert back == "".join((texts[i] or "").lower().split())
+
+
 def test_languages_are_told_apart_on_held_out_texts(spark):
     lang = dict(zip(*(pq.read_table(f"{FOLDER}/documents.parquet")[c].to_pylist() for c in ("doc_id", "lang"))))
     rows = [r for r in QUERIES["op9_language_id"](spark, FOLDER).collect() if r.held_out]
