@@ -240,13 +240,17 @@ def distinct_texts(rows: DataFrame) -> DataFrame:
     first = F.min(F.struct(F.xxhash64("id", "body").alias("place"), "id", "weighs")).alias("first")
     rows = rows.groupBy("toxic", "body").agg(first).select("first.place", "first.id", "toxic", "body", "first.weighs")
     rows = written(_sketched(rows), "sketched")
-    banded = rows.select("toxic", "place", "id", "windows", F.posexplode("bands").alias("number", "band"))
-    heads = banded.groupBy("toxic", "number", "band").agg(F.min_by("windows", F.struct("place", "id")).alias("head"),
-                                                          F.min(F.struct("place", "id")).alias("of"), F.count("*").alias("n"))
-    shared = F.size(F.array_intersect("windows", "head")) / F.size(F.array_union("windows", "head"))
-    copies = banded.join(heads.where("n > 1"), ["toxic", "number", "band"]).where(
-        (F.struct("place", "id") != F.col("of")) & (shared >= COPY)).select("toxic", "place", "id").distinct()
-    return rows.join(copies, ["toxic", "place", "id"], "left_anti").drop("windows", "bands")
+    name, head = ["toxic", "place", "id"], F.min(F.struct("place", "id")).alias("head")
+    banded = rows.select(*name, F.posexplode("bands").alias("number", "band"))
+    heads = banded.groupBy("toxic", "number", "band").agg(head, F.count("*").alias("n")).where("n > 1")
+    pairs = banded.join(heads, ["toxic", "number", "band"]).where(F.struct("place", "id") != F.col("head")).select(
+        *name, F.col("head.place").alias("head_place"), F.col("head.id").alias("head_id")).distinct()
+    # Only texts of such pairs move with their windows.
+    sets = rows.select(*name, "windows")
+    first = sets.select("toxic", F.col("place").alias("head_place"), F.col("id").alias("head_id"), F.col("windows").alias("others"))
+    shared = F.size(F.array_intersect("windows", "others")) / F.size(F.array_union("windows", "others"))
+    copies = pairs.join(sets, name).join(first, ["toxic", "head_place", "head_id"]).where(shared >= COPY).select(*name).distinct()
+    return rows.drop("windows", "bands").join(copies, name, "left_anti")
 
 
 def train(docs: DataFrame, labels: DataFrame, training: Column) -> Model:
