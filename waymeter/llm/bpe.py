@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import json
 import re
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -186,6 +186,12 @@ def _kept(vocabulary: str) -> _Kept:
     return worker_state(("bpe", vocabulary), lambda: _Kept(vocabulary))
 
 
+@lru_cache
+def size(vocabulary: str) -> int:
+    """How many ids the vocabulary has, those of special tokens too."""
+    return Tokenizer.from_file(vocabulary).get_vocab_size(with_added_tokens=True)
+
+
 # Fragments stay known across a worker's tasks.
 
 

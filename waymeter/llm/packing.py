@@ -29,9 +29,21 @@ def piece_lengths(tokens: int, width: int = WIDTH) -> list[int]:
     return [width] * (tokens // width) + [1 << k for k in range(rest.bit_length() - 1, -1, -1) if rest >> k & 1]
 
 
-def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int = WIDTH, with_ids: bool = True) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit, if `with_ids`), ids_crc32,
-    doc_tokens, sequence_id, offset, bucket (the length's binary logarithm).
+def id_kind(vocabulary: str) -> str:
+    """Numbers in which narrow pieces hold ids: of 16 bits where the vocabulary has no more ids, else of 32."""
+    return "<u2" if bpe.size(vocabulary) <= 1 << 16 else "<u4"
+
+
+def ids_of(blob: bytes, vocabulary: str) -> np.ndarray:
+    """The ids that a narrow piece holds."""
+    return np.frombuffer(blob, id_kind(vocabulary)).astype(np.int64)
+
+
+def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int = WIDTH, with_ids: bool = True,
+           narrow: bool = False) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids (little-endian unsigned 32-bit, if `with_ids`; in the numbers of
+    `id_kind` if `narrow`), ids_crc32 (of 32-bit ids), doc_tokens, sequence_id, offset, bucket (the length's binary
+    logarithm).
 
     A map over the rows, without a shuffle. A null or empty text is its end id alone; a repeated row is packed
     again under its own sequences; a null doc_id stays null; other columns are not read; an empty table gives
@@ -39,7 +51,7 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
     """
     if width & (width - 1):
         raise ValueError("width must be a power of two")
-    end = np.array([end_id], "<u4").tobytes()
+    end, kind = np.array([end_id], "<u4").tobytes(), id_kind(vocabulary) if narrow else "<u4"
     id_type = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("doc_id", id_type)]).add("start", "long").add("length", "long")
     schema = (schema.add("ids", "binary") if with_ids else schema).add("ids_crc32", "long").add("doc_tokens", "long")
@@ -52,7 +64,8 @@ def pieces(docs: DataFrame, vocabulary: str, end_id: int = END_ID, width: int =
                 start = 0
                 for length in piece_lengths(len(data) // 4, width):
                     ids = data[4 * start:4 * (start + length)]
-                    for column, value in zip(made, (row, start, length, ids if with_ids else None, zlib.crc32(ids), len(data) // 4)):
+                    kept = np.frombuffer(ids, "<u4").astype(kind).tobytes() if with_ids else None
+                    for column, value in zip(made, (row, start, length, kept, zlib.crc32(ids), len(data) // 4)):
                         column.append(value)
                     start += length
             rows = batch.column(0).take(pa.array(made[0], pa.int32()))

@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE))
+    packed = packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_BPE), narrow=True)
     # The files hold the ids, by length; the answer does not read them.
     return packing.bucketed(packed, new_run_folder(spark, "packing-buckets")).drop("ids")
 
