@@ -211,15 +211,15 @@ def links_in_leaf(ids: np.ndarray, vectors: np.ndarray, codes: list[np.ndarray],
                     top[other] = whole
     linked = np.flatnonzero(counts)
     roots = np.array([root(k) for k in linked], np.int64)
-    return pd.DataFrame({"vec": ids[linked], "n": counts[linked], "least": ids[roots]})
+    return pd.DataFrame({"key": ids[linked], "n": counts[linked], "least": ids[roots]})
 
 
 def near_duplicates(rows: DataFrame, forest: Forest = Forest(), least: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept, one row per row of `rows` (vec_id, embedding).
 
     A vector that is null, zero or not finite links with nothing and is its own component. Vectors that are
-    equal are compared once: the group's least id stands for it, and its size counts in n_links. Rows that
-    repeat a vec_id are vectors of their own with one id. A null vec_id stays null and links with nothing.
+    equal are compared once, and their number counts in n_links. Rows that repeat a vec_id are vectors of their own
+    with one id: each has the links of its vector, and its component's least id. A null vec_id stays null and links with nothing.
     Vectors of unlike lengths are compared within their length only. Other columns are not read.
     """
     spark = rows.sparkSession
@@ -236,24 +236,25 @@ def near_duplicates(rows: DataFrame, forest: Forest = Forest(), least: float = 0
     # A class is a set of equal unit vectors; a third of all rows in one class is one row from here on.
     units = written(base.mapInArrow(normalise, "vec_id long, vec binary").withColumn(
         "class", F.when(F.col("vec_id").isNotNull(), F.sha2("vec", 256))), "vectors")
+    # `key` numbers the classes: an id may have several, so the least id does not name one.
     classes = written(units.where("class IS NOT NULL").groupBy("class").agg(
         F.min("vec_id").alias("vec"), F.count("*").alias("size"), F.any_value("vec").alias("vector"),
-    ), "vector-classes")
+    ).withColumn("key", F.monotonically_increasing_id()), "vector-classes")
     lengths = [r[0] for r in classes.select(F.octet_length("vector").alias("d")).distinct().orderBy("d").collect()]
     parts = [_links(classes.where(F.octet_length("vector") == d), forest, least) for d in lengths]
-    none = spark.createDataFrame([], "vec long, n long, least long")
+    none = spark.createDataFrame([], "key long, n long, least long")
     found = none
     for part in parts:
         found = found.unionByName(part)
     found = written(found, "vector-links")
-    united = components(found.select(F.col("vec").alias("a"), F.col("least").alias("b")))
-    per_class = found.groupBy("vec").agg(F.sum("n").alias("n"))
-    answer = classes.select("class", "vec", "size").join(per_class, "vec", "left").join(
-        united.withColumnRenamed("node", "vec"), "vec", "left"
-    ).select(
+    united = components(found.select(F.col("key").alias("a"), F.col("least").alias("b"))).withColumnRenamed("node", "key")
+    per_class = found.groupBy("key").agg(F.sum("n").alias("n"))
+    joined = classes.select("class", "key", "vec", "size").join(per_class, "key", "left").join(united, "key", "left")
+    least_ids = joined.where("component IS NOT NULL").groupBy("component").agg(F.min("vec").alias("component_id"))
+    answer = joined.join(least_ids, "component", "left").select(
         "class",
         (F.coalesce("n", F.lit(0)) + F.col("size") - 1).alias("n_links"),
-        F.coalesce("component", "vec").alias("component_id"),
+        F.coalesce("component_id", "vec").alias("component_id"),
     )
     return units.select("vec_id", "class").join(answer, "class", "left").select(
         "vec_id",
@@ -264,7 +265,7 @@ def near_duplicates(rows: DataFrame, forest: Forest = Forest(), least: float = 0
 
 
 def _links(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
-    """(vec, n, least): the links of each class found in each leaf; n counts rows, not classes.
+    """(key, n, least): the links of each class found in each leaf; n counts rows, not classes.
 
     A leaf of more than MEET rows is cut into blocks; each pair of them is one task.
     """
@@ -286,10 +287,10 @@ def _links(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
             row, leaf = row[order], leaf[order]
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
             codes = pa.ListArray.from_arrays(pa.array(ends), pa.array(leaf.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, codes], ["vec", "size", "vector", "codes"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, codes], ["key", "size", "vector", "codes"])
 
-    coded = written(classes.select("vec", "size", "vector").mapInArrow(
-        assign, "vec long, size long, vector binary, codes array<int>"), "vector-leaves")
+    coded = written(classes.select("key", "size", "vector").mapInArrow(
+        assign, "key long, size long, vector binary, codes array<int>"), "vector-leaves")
     cuts = np.ones(offsets[-1], np.int64)
     large = coded.select(F.explode("codes").alias("leaf")).groupBy("leaf").count().where(F.col("count") > MEET)
     for r in large.collect():  # no more rows than the trees have leaves
@@ -309,22 +310,22 @@ def _links(classes: DataFrame, forest: Forest, least: float) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf[some].astype(np.int64)), pa.array(np.minimum(own, other)[some]), pa.array(np.maximum(own, other)[some]),
                      pa.array((own > other)[some]), *(c.take(take) for c in batch.columns)],
-                    ["leaf", "low", "high", "second", "vec", "size", "vector", "codes"],
+                    ["leaf", "low", "high", "second", "key", "size", "vector", "codes"],
                 )
 
     placed = coded.mapInArrow(
-        meet, "leaf long, low long, high long, second boolean, vec long, size long, vector binary, codes array<int>")
+        meet, "leaf long, low long, high long, second boolean, key long, size long, vector binary, codes array<int>")
 
     def compare(key: tuple, group: pa.Table) -> pa.Table:
-        group = group.sort_by("vec")
+        group = group.sort_by("key")
         data = np.array([np.frombuffer(v, np.float64) for v in group["vector"].to_pylist()])
         codes = group["codes"].combine_chunks()
         ends = np.cumsum(codes.value_lengths().to_numpy())[:-1]
         two = key[1].as_py() != key[2].as_py()
         found = links_in_leaf(
-            group["vec"].to_numpy(), data, np.split(codes.flatten().to_numpy(), ends),
+            group["key"].to_numpy(), data, np.split(codes.flatten().to_numpy(), ends),
             key[0].as_py(), least, group["size"].to_numpy(), group["second"].to_numpy() if two else None,
         )
         return pa.Table.from_pandas(found, preserve_index=False)
 
-    return placed.groupBy("leaf", "low", "high").applyInArrow(compare, "vec long, n long, least long")
+    return placed.groupBy("leaf", "low", "high").applyInArrow(compare, "key long, n long, least long")
