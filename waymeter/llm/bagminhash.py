@@ -123,7 +123,7 @@ def digest(shingles: np.ndarray, counts: np.ndarray) -> bytes:
 
 
 def sketched(docs: DataFrame) -> DataFrame:
-    """doc_id, class (digest of the multiset; null without words or id), bands."""
+    """doc_id, class (digest of the multiset; null without words or id), bands, key of rows (doc_id, text, key)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state("bagminhash", object)
         for batch in slices(batches):
@@ -135,10 +135,10 @@ def sketched(docs: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([
                     ids[a:b],
                     pa.array([digest(*s) if v and len(s[0]) else None for s, v in zip(sets, valid)], pa.binary()),
-                    pa.array(list(bands), pa.list_(pa.int64())),
-                ], ["doc_id", "class", "bands"])
+                    pa.array(list(bands), pa.list_(pa.int64())), batch.column(2)[a:b],
+                ], ["doc_id", "class", "bands", "key"])
 
-    return docs.mapInArrow(run, "doc_id long, class binary, bands array<long>")
+    return docs.mapInArrow(run, "doc_id long, class binary, bands array<long>, key string")
 
 
 def elements(docs: DataFrame) -> DataFrame:
@@ -239,37 +239,35 @@ def links_between(classes: list[bytes], parts: list[bytes], sets: list[tuple[byt
 def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     """Links (a, b) between components that centres left apart: exact, and without a row per pair.
 
-    Classes that buckets join, directly or through others, are a family. Its components of BLOCK classes or more
-    are cut into blocks of their own, the others are pooled; blocks hold at most about BLOCK classes and ELEMENTS
-    shingles. Each pair of blocks is one task, but for two of one component; it gets both blocks' multisets and
-    returns links that join components, fewer than it has classes.
+    Of each bucket whose classes lie in several components, those of BLOCK classes or more are cut into blocks of
+    their own, the others are pooled; blocks hold at most about BLOCK classes and ELEMENTS shingles. Each pair of
+    blocks of a bucket is one task, but for two of one component; it gets both blocks' multisets and returns links
+    that join components, fewer than it has classes. Only classes that share a bucket meet: buckets that chains of
+    weak candidates join are never compared with each other. Two classes may meet in several buckets.
     """
-    low = members.groupBy("bucket").agg(F.min("class").alias("b"))
-    families = components(members.join(low, "bucket").select(F.col("class").alias("a"), "b"))
-    of = families.select(F.col("node").alias("class"), F.col("component").alias("family")).join(labels, "class", "left")
-    of = of.withColumn("part", F.coalesce("part", "class")).join(
-        sets.select("class", (F.octet_length("shingles") / 8).cast("long").alias("size")), "class")
-    parts = of.groupBy("family", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
+    of = members.join(labels, "class", "left").withColumn("part", F.coalesce("part", "class"))
+    apart = of.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
+    of = written(of.join(apart, "bucket").join(
+        sets.select("class", (F.octet_length("shingles") / 8).cast("long").alias("size")), "class"), "apart")
+    parts = of.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
     pool = F.when(F.col("n") >= BLOCK, F.col("part"))
-    pools = parts.groupBy("family", pool.alias("pool")).agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.count("*").alias("parts"))
+    pools = parts.groupBy("bucket", pool.alias("pool")).agg(F.sum("n").alias("n"), F.sum("size").alias("size"))
     cuts = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("size") / ELEMENTS)).cast("int")
-    pools = pools.select("family", "pool", cuts.alias("cuts"), "parts")
-    alone = pools.groupBy("family").agg(F.sum("parts").alias("parts")).where("parts = 1").select("family")
-    pools = written(pools.join(alone, "family", "left_anti"), "family-pools")
-    placed = of.join(parts.select("family", "part", pool.alias("pool")), ["family", "part"])
-    same = placed["family"].eqNullSafe(pools["family"]) & placed["pool"].eqNullSafe(pools["pool"])
+    pools = written(pools.select("bucket", "pool", cuts.alias("cuts")), "pools")
+    placed = of.join(parts.select("bucket", "part", pool.alias("pool")), ["bucket", "part"])
+    same = (placed["bucket"] == pools["bucket"]) & placed["pool"].eqNullSafe(pools["pool"])
     placed = placed.join(pools, same).select(
-        placed["family"], "class", "part", F.struct(placed["pool"], F.pmod(F.xxhash64("class"), "cuts").alias("cut")).alias("block"))
-    placed = written(placed, "family-blocks")
-    blocks = pools.select("family", F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: F.struct("pool", k.cast("long").alias("cut")))).alias("block"))
-    meets = blocks.join(blocks.select("family", F.col("block").alias("other")), "family").where(
+        placed["bucket"], "class", "part", F.struct(placed["pool"], F.pmod(F.xxhash64("class"), "cuts").alias("cut")).alias("block"))
+    placed = written(placed, "blocks")
+    blocks = pools.select("bucket", F.explode(F.transform(F.sequence(F.lit(0), F.col("cuts") - 1), lambda k: F.struct("pool", k.cast("long").alias("cut")))).alias("block"))
+    meets = blocks.join(blocks.select("bucket", F.col("block").alias("other")), "bucket").where(
         "block <= other AND NOT (block.pool <=> other.pool AND block.pool IS NOT NULL)")
-    meets = written(meets, "family-meetings")
-    ends = meets.select("family", "block", "other", F.explode(F.array_distinct(F.array("block", "other"))).alias("mine"))
+    meets = written(meets, "meetings")
+    ends = meets.select("bucket", "block", "other", F.explode(F.array_distinct(F.array("block", "other"))).alias("mine"))
     mine = placed.withColumnRenamed("block", "mine").withColumn("pool", F.coalesce(F.col("mine.pool"), F.lit(b""))).withColumn("cut", F.col("mine.cut")).drop("mine")
     ends = ends.withColumn("pool", F.coalesce(F.col("mine.pool"), F.lit(b""))).withColumn("cut", F.col("mine.cut")).drop("mine")
-    rows = ends.join(mine, ["family", "pool", "cut"]).select(
-        "class", "part", F.sha2(F.to_json(F.struct("family", "block", "other")), 256).alias("task"))
+    rows = ends.join(mine, ["bucket", "pool", "cut"]).select(
+        "class", "part", F.sha2(F.to_json(F.struct("bucket", "block", "other")), 256).alias("task"))
     rows = rows.join(sets, "class")
 
     def compare(group: pa.Table) -> pa.Table:
@@ -315,24 +313,42 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     texts under one doc_id make that document a part of each text's class. Other columns are not read, an
     empty table gives no rows. kept is class_id = doc_id, true without an id.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return classified(docs).drop("key", "group")
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and `key`, a digest by which rows of one text under one id are known."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.md5(text).alias("key"))
+
+
+def classified(docs: DataFrame) -> DataFrame:
+    """The rows of `near_duplicates`, with the `key` of each row's text and the `group` of its class, a class of it."""
+    rows = _keyed(docs)
     sketches = written(sketched(rows), "bagminhash")
     classes = written(sketches.where("class IS NOT NULL").groupBy("class").agg(
         F.min("doc_id").alias("doc_id"), F.any_value("bands").alias("bands")), "bagminhash-classes")
     labels = links(classes, rows)
     joined = classes.select("class", "doc_id").join(labels, "class", "left").withColumn("part", F.coalesce("part", "class"))
     least = joined.groupBy("part").agg(F.min("doc_id").alias("class_id"))
-    answer = joined.join(least, "part").select("class", "class_id")
-    answer = sketches.select("doc_id", "class").join(answer, "class", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    answer = joined.join(least, "part").select("class", "class_id", F.col("part").alias("group"))
+    answer = sketches.select("doc_id", "class", "key").join(answer, "class", "left").select(
+        "doc_id", "key", "group", F.coalesce("class_id", "doc_id").alias("class_id"))
     return answer.withColumn("kept", F.coalesce(F.col("class_id") == F.col("doc_id"), F.lit(True)))
 
 
 def kept(docs: DataFrame) -> DataFrame:
     """One document of each group of near duplicates, the one with the least doc_id, with all columns of `docs`.
 
-    Of repeated rows of that id one stays; rows without an id all stay.
+    Of several rows of that id in the group one stays: the first by digests of its text and of all its columns, so the
+    answer does not hang on the order of rows. Rows of one id whose texts are in different groups may each stay; those
+    of one id without words are one group. Rows without an id all stay.
     """
-    stay = written(near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("stay")).distinct(), "stay")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("key"))
-    once = rows.join(stay, rows["key"] == stay["stay"]).groupBy("stay").agg(F.first("row").alias("row"))
-    return once.select("row.*").unionByName(rows.where("key IS NULL").select("row.*"))
+    stay = classified(docs).where("kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("stay"), F.col("key").alias("text_key"), "group")
+    stay = written(stay.distinct(), "stay")
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.md5(text).alias("key"),
+                       F.xxhash64(*docs.columns).alias("place"))
+    found = rows.join(stay, (rows["id"] == stay["stay"]) & (rows["key"] == stay["text_key"]))
+    once = found.groupBy("stay", "group").agg(F.min_by("row", F.struct("key", "place")).alias("row"))
+    return once.select("row.*").unionByName(rows.where("id IS NULL").select("row.*"))
