@@ -32,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents left, with their ids."""
-    return packing.pieces(docs, public_tokenizers.path(WORD_BPE))
+    return packing.pieces(docs, public_tokenizers.path(WORD_BPE), narrow=True)
 
 
 STAGES = [
