@@ -12,6 +12,7 @@ a chunk's documents hold their links as numbers of the chunk's pairs, so no link
 from __future__ import annotations
 
 import hashlib
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -46,10 +47,10 @@ class PieceEncoder:
         self.known = Remembered(self._ids)
         self.space = np.array([self.model.piece_to_id(_SPACE)], "<u4").tobytes()
 
-    def _ids(self, fragment: bytes) -> bytes:
-        if fragment == b" ":  # the model adds no space to nothing
-            return self.space
-        return np.array(self.model.encode(fragment[1:].decode()), "<u4").tobytes()
+    def _ids(self, fragments: list[bytes]) -> list[bytes]:
+        made = self.model.encode([f[1:].decode() for f in fragments], num_threads=1)
+        # The model adds no space to nothing.
+        return [self.space if f == b" " else struct.pack(f"<{len(ids)}I", *ids) for f, ids in zip(fragments, made)]
 
     def token_bytes(self) -> list[bytes]:
         return [
@@ -158,10 +159,12 @@ class Aligned:
             return np.empty(0, np.int64), np.empty(0, np.int64)
         covers_a, covers_b = (pd.merge_asof(x, y, on="start", by="doc", suffixes=("", "_over")) for x, y in (frames, frames[::-1]))
         # A pair that starts together is found from both sides.
-        only_b = ~np.isin(frames[1]["start"].to_numpy(), frames[0]["start"].to_numpy())
+        begun = np.zeros(int(self.bounds[-1]), bool)
+        begun[frames[0]["start"].to_numpy()] = True
+        only_b = ~begun[frames[1]["start"].to_numpy()]
         i = np.r_[covers_a["token"].to_numpy(), covers_b["token_over"].to_numpy()[only_b]]
         j = np.r_[covers_a["token_over"].to_numpy(), covers_b["token"].to_numpy()[only_b]]
-        order = np.lexsort((j, i))
+        order = np.argsort(i, kind="stable")  # both halves ascend, and of one A token the first starts first
         return i[order], j[order]
 
     @cached_property

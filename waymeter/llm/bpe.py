@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import cached_property, lru_cache
 
 import numpy as np
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 from waymeter.llm.fragments import ENTRIES, Remembered, numbers
 from waymeter.llm.shared import worker_state
 
-_TAIL = ".,;:!?%$*&#|"
+_TAIL = b".,;:!?%$*&#|"
 _WHITE = b" \t\n\v\f\r"
 #: The first byte of U+00C0 to U+00FF in UTF-8, all letters but two, and the second bytes of those two.
 _LATIN, _NO_LETTER = 0xC3, [0x97, 0xB7]
@@ -53,25 +54,42 @@ class _Ids:
         self.whole, self.merges = tokenizer.encode, tokenizer.model.tokenize
         self.lowers, self.drops_space = lowers, drops_space
         self.unit = {b: c for c, b in byte_of().items()}
+        self.tails: dict[bytes, list[int]] = {b"": []}
 
-    def _word(self, text: str) -> list[int]:
-        if not text.isascii():
-            text = "".join(map(self.unit.__getitem__, text.encode()))
+    def _merged(self, text: str) -> list[int]:
         return [token.id for token in self.merges(text)]
 
-    def _ids(self, text: str) -> list[int]:
-        core = text if self.drops_space else text.removeprefix(" ")
+    def _spelled(self, data: bytes) -> str:
+        return data.decode() if data.isascii() else "".join(map(self.unit.__getitem__, data))
+
+    def _tail(self, data: bytes) -> list[int]:
+        found = self.tails.get(data)
+        if found is None:
+            found = self._merged(data.decode())
+            if len(self.tails) < 1000:
+                self.tails[data] = found
+        return found
+
+    def _ids(self, fragment: bytes) -> list[int]:
+        core = fragment if self.drops_space or fragment[:1] != b" " else fragment[1:]
         word = core if self.drops_space else core.rstrip(_TAIL)
-        if word.isalpha() and max(word) < "\u0250" and "\u0130" not in word:
-            tail = core[len(word):]
-            if self.drops_space:
-                return self._word(word.lower() if self.lowers else word)
-            head = ("\u0120" if len(core) < len(text) else "") + "".join(map(self.unit.__getitem__, word.encode()))
-            return [t.id for t in self.merges(head)] + ([t.id for t in self.merges(tail)] if tail else [])
-        return self.whole(text, add_special_tokens=False).ids
-
-    def __call__(self, fragment: bytes) -> bytes:
-        return np.array(self._ids(fragment.decode("utf-8", "surrogatepass")), "<u4").tobytes()
+        plain = word.isalpha()  # ASCII letters alone
+        if not plain and not word.isascii():
+            text = word.decode("utf-8", "surrogatepass")
+            plain = text.isalpha() and max(text) < "\u0250" and "\u0130" not in text
+            if plain and self.lowers:
+                word = text.lower().encode()
+        elif plain and self.lowers:
+            word = word.lower()
+        if not plain:
+            return self.whole(fragment.decode("utf-8", "surrogatepass"), add_special_tokens=False).ids
+        if self.drops_space:
+            return self._merged(self._spelled(word))
+        head = "\u0120" if len(core) < len(fragment) else ""
+        return self._merged(head + self._spelled(word)) + self._tail(core[len(word):])
+
+    def __call__(self, fragments: list[bytes]) -> list[bytes]:
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in map(self._ids, fragments)]
 
 
 class FragmentEncoder:

@@ -19,25 +19,33 @@ WINDOW = 1 << 20
 
 
 class Remembered:
-    """Values by fragment. When the young half is full, the old one goes and what is in use is young again."""
+    """Values by fragment, made for many at once. When the young half is full, the old one goes and what is in use is
+    young again."""
 
-    def __init__(self, make: Callable[[bytes], object], entries: int = ENTRIES):
+    def __init__(self, make: Callable[[list[bytes]], list], entries: int = ENTRIES):
         self.make, self.half = make, max(1, entries // 2)
         self.young: dict[bytes, object] = {}
         self.old: dict[bytes, object] = {}
 
-    def __getitem__(self, fragment: bytes):
-        value = self.young.get(fragment)
-        if value is None:
-            value = self.old.get(fragment)
-            if value is None:
-                value = self.make(fragment)
-                if len(fragment) > LONGEST:
-                    return value
+    def _keep(self, fragment: bytes, value) -> None:
+        if len(fragment) <= LONGEST:
             if len(self.young) >= self.half:
                 self.old, self.young = self.young, {}
             self.young[fragment] = value
-        return value
+
+    def many(self, fragments: list[bytes]) -> list:
+        """The values of distinct fragments. Only those that are not young are looked at one by one."""
+        values, fresh = list(map(self.young.get, fragments)), []
+        for k in [k for k, value in enumerate(values) if value is None]:
+            values[k] = self.old.get(fragments[k])
+            if values[k] is None:
+                fresh.append(k)
+            else:
+                self._keep(fragments[k], values[k])
+        for k, value in zip(fresh, self.make([fragments[k] for k in fresh]) if fresh else []):
+            values[k] = value
+            self._keep(fragments[k], value)
+        return values
 
     def __len__(self) -> int:
         return len(self.young) + len(self.old)
@@ -51,19 +59,24 @@ def ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def distinct(whole: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the fragments whole[starts:ends] the numbers of the distinct ones, and for each fragment its place there."""
+    """Of the fragments whole[starts:ends] the numbers of the distinct ones, and for each fragment its place there. No
+    fragment is empty."""
     up, down = powers(whole.size)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(BYTE_VALUES[whole] * up[: whole.size], dtype=np.uint64)])
     sizes = ends - starts
     hashes = mixed((sums[ends] - sums[starts]) * down[starts] ^ sizes.astype(np.uint64))
-    _, first, place = np.unique(hashes, return_index=True, return_inverse=True)
-    twin = first[place]
-    other = sizes != sizes[twin]
-    if not other.any():
-        same = whole[ranges(starts, sizes)] == whole[ranges(starts[twin], sizes)]
-        # The offsets of non-empty ranges; a fragment is never empty.
-        other = ~np.logical_and.reduceat(same, np.cumsum(sizes) - sizes)
-    if other.any():  # two fragments with one hash: told apart by their bytes
+    order = np.argsort(hashes)
+    hashes = hashes[order]
+    new = np.r_[True, hashes[1:] != hashes[:-1]]
+    first, place = order[new], np.empty(order.size, np.int64)
+    place[order] = np.cumsum(new) - 1
+    twin = order[new][place]
+    rest = np.flatnonzero(twin != np.arange(order.size))
+    size = sizes[rest]
+    other = (size != sizes[twin[rest]]).any()
+    if not other and rest.size:
+        other = not (whole[ranges(starts[rest], size)] == whole[ranges(starts[twin[rest]], size)]).all()
+    if other:  # two fragments with one hash: told apart by their bytes
         seen: dict[bytes, int] = {}
         data = whole.tobytes()
         place = np.array([seen.setdefault(data[i:j], len(seen)) for i, j in zip(starts.tolist(), ends.tolist())])
@@ -100,7 +113,7 @@ def numbers(buffer: bytes, starts: np.ndarray, ends: np.ndarray, known: Remember
             first, place = distinct(whole[base:other[-1]], some - base, other - base)
         else:
             first = place = np.zeros(1, np.int64)
-        values = [known[buffer[i:j]] for i, j in zip(some[first].tolist(), other[first].tolist())]
+        values = known.many([buffer[i:j] for i, j in zip(some[first].tolist(), other[first].tolist())])
         for made, part in zip((ids, counts), gathered(values, place)):
             made.append(part)
     return np.concatenate(ids), np.concatenate(counts)
