@@ -25,10 +25,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymeter.llm import shared
-from waymeter.llm.words import mixed, portions, word_hashes
+from waymeter.llm.words import mixed, word_hashes
 
 END = np.uint64(0x5851F42D4C957F2D)
 FLUSH = 1_500_000
+#: Bytes of texts that are read at once.
+PORTION = 4 << 20
 BLOBS = "shard long, keys binary, counts binary"
 
 
@@ -116,9 +118,8 @@ def _counted(tokens: Iterator[np.ndarray], shard_of) -> Iterator[pa.RecordBatch]
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[list[str | None]]:
     for batch in batches:
-        texts = batch.column(batch.num_columns - 1).to_pylist()
-        for a, b in portions(texts):
-            yield texts[a:b]
+        for piece in shared.text_slices([batch], batch.num_columns - 1, PORTION):
+            yield piece.column(batch.num_columns - 1).to_pylist()
 
 
 def _merged(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -137,16 +138,17 @@ def pair_order(codes: np.ndarray) -> np.ndarray:
 
 
 class Opened:
-    """The model's arrays as one worker sees them."""
+    """The model's arrays as one worker sees them. Look-ups go through the shards in order, each opened when its turn
+    comes, so a bounded number of files is open whatever the number of shards."""
 
     def __init__(self, model: Model):
-        self.model = model
-        self.words = [(shared.mapped_array(k, "<u8"), shared.mapped_array(c, "<u8")) for k, c in model.words]
-        self.bigrams = [tuple(shared.mapped_array(u, k) for u, k in zip(b, ("<u8", "u1", "<u8"))) for b in model.bigrams]
-        self.stats = [shared.mapped_array(u, "<u4").reshape(4, -1) for u in model.stats]
+        self.model, self.files = model, shared.MappedArrays()
+
+    def _arrays(self, uris: tuple[str, ...], kinds: tuple[str, ...]) -> list[np.ndarray]:
+        return [self.files.get(uri, kind) for uri, kind in zip(uris, kinds)]
 
     def _split(self, shards: np.ndarray) -> Iterator[tuple[int, slice]]:
-        edges = np.searchsorted(shards, np.arange(len(self.words) + 1))
+        edges = np.searchsorted(shards, np.arange(len(self.model.words) + 1))
         for k in np.flatnonzero(np.diff(edges)):
             yield int(k), slice(edges[k], edges[k + 1])
 
@@ -154,7 +156,7 @@ class Opened:
         """Numbers (-1: unknown) and counts of ascending word hashes."""
         number, count = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         for k, part in self._split(_top_bits(hashes, self.model.bits)):
-            keys, counts = self.words[k]
+            keys, counts = self._arrays(self.model.words[k], ("<u8", "<u8"))
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, hashes[part]), len(keys) - 1)
                 hit = keys[at] == hashes[part]
@@ -168,7 +170,7 @@ class Opened:
         order = np.argsort(place)
         place, out = place[order], np.zeros(len(codes), np.int64)
         for k, part in self._split(_top_bits(place, self.model.bits)):
-            keys, counts, large = self.bigrams[k]
+            keys, counts, large = self._arrays(self.model.bigrams[k], ("<u8", "u1", "<u8"))
             if len(keys):
                 at = np.minimum(np.searchsorted(keys, place[part]), len(keys) - 1)
                 found = np.where(keys[at] == place[part], counts[at], 0).astype(np.int64)
@@ -185,7 +187,8 @@ class Opened:
         edges = np.searchsorted(numbers, [*self.model.starts, 1 << 62])
         for k in np.flatnonzero(np.diff(edges)):
             part = slice(edges[k], edges[k + 1])
-            out[:, part] = self.stats[k][:, numbers[part] - self.model.starts[k]]
+            stats, = self._arrays((self.model.stats[k],), ("<u4",))
+            out[:, part] = stats.reshape(4, -1)[:, numbers[part] - self.model.starts[k]]
         return out
 
     def scores(self, texts: list[str | None]) -> dict[str, np.ndarray]:
@@ -345,16 +348,14 @@ def scored(docs: DataFrame, training: Column) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = opened(model)
-        for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for a, b in portions(texts):
-                got = look.scores(texts[a:b])
-                rest = pa.array([model.tokens] * (b - a), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[a:b], batch.column(1)[a:b], pa.array(got["n_tokens"]), pa.array(got["n_known"]), rest,
-                     pa.array(got["base_score"]), pa.array(got["score"])],
-                    ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
-                )
+        for batch in shared.text_slices(batches, 2, PORTION):
+            got = look.scores(batch.column(2).to_pylist())
+            rest = pa.array([model.tokens] * batch.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(got["n_tokens"]), pa.array(got["n_known"]), rest,
+                 pa.array(got["base_score"]), pa.array(got["score"])],
+                ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+            )
 
     return rows.select("doc_id", "held_out", "text").mapInArrow(
         run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, "

@@ -6,7 +6,8 @@ import contextlib
 import ctypes
 import gc
 import uuid
-from collections.abc import Iterator
+from collections import OrderedDict
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -61,7 +62,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 250) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: int = 1, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterable[pa.RecordBatch], column: int = 1, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The batches in pieces of at most `size` bytes in the text column, or of one row."""
     for batch in batches:
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(), dtype=np.int64)
@@ -105,6 +106,24 @@ def mapped_array(uri: str, kind: str) -> np.ndarray:
         return np.frombuffer(source.read(), dtype=kind)
 
 
+class MappedArrays:
+    """Arrays of `mapped_array` by file, of which the `limit` used last are open: a mapped file holds a descriptor and
+    a place among the process's maps. One that was closed is opened again when it is asked for."""
+
+    def __init__(self, limit: int = 160):
+        self.limit = limit
+        self.open: OrderedDict[str, np.ndarray] = OrderedDict()
+
+    def get(self, uri: str, kind: str) -> np.ndarray:
+        held = self.open.pop(uri, None)
+        if held is None:
+            while len(self.open) >= self.limit:
+                self.open.popitem(last=False)  # unmapped with its last reference
+            held = mapped_array(uri, kind)
+        self.open[uri] = held
+        return held
+
+
 def worker_folder(spark: SparkSession, label: str) -> str:
     """A new folder in the shared one, as a URI that workers can open."""
     path = new_run_folder(spark, label)
