@@ -229,12 +229,13 @@ def identified(docs: DataFrame, training: Column) -> DataFrame:
     are not read, an empty table gives no rows.
     """
     rows = docs.select("doc_id", (~training).alias("held_out"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    model = train(rows.where("NOT held_out AND lang IS NOT NULL AND text IS NOT NULL").select("lang", "text"))
+    learns = ~F.col("held_out") & F.col("lang").isNotNull() & F.col("text").isNotNull()
+    model = train(rows.where(learns).select("lang", "text"))
     names = model.languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         look = opened(model)
-        for batch in batches:
+        for batch in shared.text_slices(batches, 2):
             texts = batch.column(2).to_pylist()
             pred, score, cost = [UNKNOWN] * len(texts), np.zeros(len(texts)), [None] * len(texts)
             for a in range(0, len(texts) if names else 0, 500):
@@ -245,21 +246,22 @@ def identified(docs: DataFrame, training: Column) -> DataFrame:
                     pred[a + k], cost[a + k] = names[best], float(per[best])
                     score[a + k] = 1 / np.exp2((per[best] - per) * min(int(sizes[k]), SHARP)).sum()
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score), pa.array(cost, pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score", "bits_per_char"],
+                [batch.column(0), batch.column(1), pa.array(pred, pa.string()), pa.array(score), pa.array(cost, pa.float64()), batch.column(3)],
+                ["doc_id", "held_out", "lang_pred", "score", "bits_per_char", "learnt"],
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     read = shared.written(
-        rows.select("doc_id", "held_out", "text").mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_char double"),
+        rows.select("doc_id", "held_out", "text", learns.alias("learnt")).mapInArrow(
+            run, f"doc_id {kind}, held_out boolean, lang_pred string, score double, bits_per_char double, learnt boolean"),
         "languages-read",
     )
     # One row per language: as many as the model has.
-    bound = read.where("NOT held_out AND bits_per_char IS NOT NULL").groupBy("lang_pred").agg(
+    bound = read.where("learnt AND bits_per_char IS NOT NULL").groupBy("lang_pred").agg(
         (F.percentile_approx("bits_per_char", ACCEPTED, 10_000) * SLACK).alias("bound"))
     over = F.create_map(*(x for r in bound.collect() for x in (F.lit(r.lang_pred), F.lit(r.bound)))) if names else None
     rejected = F.coalesce(F.col("bits_per_char") > over[F.col("lang_pred")], F.lit(True)) if names else F.lit(True)
-    return read.withColumn("rejected", rejected)
+    return read.drop("learnt").withColumn("rejected", rejected)
 
 
 #: Characters of evidence that a score counts at most.
