@@ -243,10 +243,14 @@ def _rest(members: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     their own, the others are pooled; blocks hold at most about BLOCK classes and ELEMENTS shingles. Each pair of
     blocks of a bucket is one task, but for two of one component; it gets both blocks' multisets and returns links
     that join components, fewer than it has classes. Only classes that share a bucket meet: buckets that chains of
-    weak candidates join are never compared with each other. Two classes may meet in several buckets.
+    weak candidates join are never compared with each other. Two classes may meet in several buckets of unlike members.
     """
     of = members.join(labels, "class", "left").withColumn("part", F.coalesce("part", "class"))
-    apart = of.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low <> high").select("bucket")
+    # Classes that agree in several bands meet in as many buckets: of those with the same members one is enough, told
+    # by their number and two sums of hashes of 64 bits.
+    total = lambda seed: F.sum(F.xxhash64("class", F.lit(seed)).cast("decimal(38,0)"))
+    apart = of.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), total(1).alias("s"), total(2).alias("t"))
+    apart = apart.where("low <> high").groupBy("n", "s", "t").agg(F.min("bucket").alias("bucket")).select("bucket")
     of = written(of.join(apart, "bucket").join(
         sets.select("class", (F.octet_length("shingles") / 8).cast("long").alias("size")), "class"), "apart")
     parts = of.groupBy("bucket", "part").agg(F.count("*").alias("n"), F.sum("size").alias("size"))
