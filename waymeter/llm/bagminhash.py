@@ -353,6 +353,12 @@ def kept(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.md5(text).alias("key"),
                        F.xxhash64(*docs.columns).alias("place"))
-    found = rows.join(stay, (rows["id"] == stay["stay"]) & (rows["key"] == stay["text_key"]))
-    once = found.groupBy("stay", "group").agg(F.min_by("row", F.struct("key", "place")).alias("row"))
-    return once.select("row.*").unionByName(rows.where("id IS NULL").select("row.*"))
+    # Digests decide, so that a text moves once at most; only rows that repeat whole are told apart by themselves.
+    names = rows.select("id", "key", "place").join(stay, (F.col("id") == F.col("stay")) & (F.col("key") == F.col("text_key")))
+    first = names.groupBy("id", "group").agg(F.min(F.struct("key", "place")).alias("first"))
+    chosen = first.select("id", "first.*").distinct()
+    times = names.groupBy("id", "key", "place").agg(F.count("*").alias("times"))
+    chosen = written(chosen.join(times, ["id", "key", "place"]), "chosen")
+    found = rows.join(chosen, ["id", "key", "place"])
+    repeated = found.where("times > 1").dropDuplicates(["id", "key", "place"])
+    return found.where("times = 1").select("row.*").unionByName(repeated.select("row.*")).unionByName(rows.where("id IS NULL").select("row.*"))
