@@ -110,7 +110,7 @@ def chart_points(series: DataFrame) -> DataFrame:
     )
 
 
-# Line texts -------------------------------------------------------------------------------------
+# Line texts. Their labels, marks and widths are fixed values of the report layout ---------------------
 
 
 def _text(*parts: Column | str) -> Column:
@@ -230,6 +230,7 @@ def nightly_text_report(report: DataFrame, day: str, title: str = "TRAFFIC REPOR
     counts = report.agg(
         F.count(F.lit(1)).alias("peaks"), F.count_if("needs_police").alias("flagged")
     )
+    # Headings are fixed values of the report layout.
     fixed = _fixed_lines(
         counts,
         _section(0, [RULE, f"  {title} — {day}", f"  Generated by: {source}", RULE, "",
@@ -249,6 +250,7 @@ def summary_text_report(volume_peaks: DataFrame, alerts: DataFrame, flagged: Dat
                         rules: TrafficConfig = DEFAULTS) -> DataFrame:
     """The day's ordered lines: busiest hours, critical alerts, interventions."""
     one_row = volume_peaks.sparkSession.range(1)
+    # Headings are fixed values of the report layout.
     fixed = _fixed_lines(
         one_row,
         _section(0, [RULE, f"  {title} — {day}", RULE, "",
