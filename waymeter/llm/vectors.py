@@ -39,7 +39,7 @@ class Forest:
     the cut that go to both sides, at least (see REACH). Where the sample is too small for such leaves, leaves grow in proportion
     to the table, and so does the time of a comparison: raise the sample then."""
 
-    trees: int = 8
+    trees: int = 4
     leaf: int = 1024
     spill: float = 0.1
     sample: int = 50_000
