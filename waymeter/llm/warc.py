@@ -52,12 +52,15 @@ def capture_time(page_id: int | None) -> str:
 
 def roles(pages: DataFrame) -> DataFrame:
     """Each page with record_type and refers_to: of equal payloads of REVISIT_BYTES or more, the one with the
-    largest page_id is the response. Partial maxima per payload; the join back is split by AQE where skewed."""
+    largest page_id is the response. Partial maxima per payload; the join back is split by AQE where skewed. Smaller
+    pages are dealt by their own keys, which no payload has."""
     digest, size = F.sha2(F.coalesce("html", F.lit("")), 256), F.octet_length(F.coalesce("html", F.lit("")))
     rows = pages.select(
         F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"),
-    ).withColumn("payload", F.when(size >= REVISIT_BYTES, digest))
-    first = rows.where("payload IS NOT NULL").groupBy("payload").agg(F.max("page_id").alias("response_id"))
+    ).withColumn("long", size >= REVISIT_BYTES)
+    own = F.concat(F.lit("page "), F.xxhash64("page_id", "url").cast("string"))
+    rows = rows.withColumn("payload", F.when(F.col("long"), digest).otherwise(own))
+    first = rows.where("long").groupBy("payload").agg(F.max("page_id").alias("response_id"))
     refers = F.when(F.col("response_id") > F.coalesce("page_id", F.lit(-(1 << 63))), F.col("response_id"))
     return rows.join(first, "payload", "left").select(
         "page_id", "url", "html",
