@@ -90,3 +90,18 @@ def test_a_rebuild_refuses_windows_that_cut_a_date(spark):
 def test_the_streaming_job_wants_an_archive_or_a_word_against_it():
     with pytest.raises(SystemExit):
         stream.main([])
+
+
+@pytest.mark.parametrize("option", [["--hours", "UTC"], ["--keep-late"], ["--live"]])
+def test_tables_of_the_streaming_job_need_their_folder(option):
+    with pytest.raises(SystemExit):
+        stream.main(["--no-archive", *option])
+
+
+def test_database_sinks_are_prepared_unless_rows_are_only_appended(spark, monkeypatch):
+    ran = []
+    monkeypatch.setattr(stream, "jdbc_run", lambda session, config: lambda statement, query: ran.append(statement))
+    stream.database_sinks(spark, JdbcConfig(), append_only=True)
+    assert ran == []
+    stream.database_sinks(spark, JdbcConfig(), append_only=False)
+    assert [s.split()[0] for s in ran].count("CREATE") == len(ran) == 9
